@@ -29,8 +29,10 @@ def dedup_keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str
         raise ValueError("keep-first needs an explicit order")
     if not payload:
         return df.select(*keys).distinct()
-    best = F.min_by(F.struct(*[F.col(c) for c in payload]), F.struct(*order)).alias("__row")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in payload]) \
+    # the order is projected first, so it may be non-deterministic (a row id)
+    ordered = df.withColumn("__order", F.struct(*order))
+    best = F.min_by(F.struct(*[F.col(c) for c in payload]), F.col("__order")).alias("__row")
+    return ordered.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__row.{c}").alias(c) for c in payload]) \
         .select(*df.columns)
 
 

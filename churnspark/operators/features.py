@@ -190,16 +190,35 @@ class FittedState:
 
 
 def fit_all(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> FittedState:
-    """Fit fills on train, then encoders and scaler on the FILLED train."""
-    fills = fill_fit(train, numeric, categorical)
-    fd = _fill_dict(fills)
-    filled = fill_apply(train, fd)
+    """Fit fills on train, then encoders and scaler on the FILLED train.
+
+    The training rows are persisted for the duration of the fit (several
+    aggregation passes read them) and released afterwards; the returned
+    parameter tables are materialised, so nothing downstream re-reads the
+    training lineage.  Fills and scaler have one row per column; the encoder
+    table (one row per category) is checkpointed to the shared checkpoint
+    folder instead of being collected.
+    """
+    from pyspark import StorageLevel
+    from churnspark.session import checkpoint_root
+    spark = train.sparkSession
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fills_rows = fill_fit(train, numeric, categorical).collect()   # one row per column
+        fd = {r["col_name"]: (r["num_fill"] if r["cat_fill"] is None else r["cat_fill"]) for r in fills_rows}
+        filled = fill_apply(train, fd)
+        checkpoint_root(spark)
+        encoders = label_encode_fit(filled, categorical).checkpoint(eager=True)
+        scaler_rows = scale_fit(filled, numeric).collect()              # one row per column
+    finally:
+        train.unpersist()
     return FittedState(
-        fills=train.sparkSession.createDataFrame(
-            [(c, (None if isinstance(v, str) else v), (v if isinstance(v, str) else None)) for c, v in fd.items()],
+        fills=spark.createDataFrame(
+            [(r["col_name"], r["num_fill"], r["cat_fill"]) for r in fills_rows],
             "col_name string, num_fill double, cat_fill string"),
-        encoders=label_encode_fit(filled, categorical),
-        scaler=scale_fit(filled, numeric),
+        encoders=encoders,
+        scaler=spark.createDataFrame([(r["col_name"], r["mean"], r["scale"]) for r in scaler_rows],
+                                     "col_name string, mean double, scale double"),
     )
 
 

@@ -23,7 +23,7 @@ from churnspark.operators import metrics as M
 from churnspark.profile import Profile
 
 # --- Fixed values: default hyper-parameters of the original learners --------
-LOGREG = dict(C=1.0, max_iter=1000)
+LOGREG = dict(C=1.0, max_iter=1000, tol=1e-4)
 BOOSTED = dict(trees=300, depth=6, eta=0.05, subsample=0.8, colsample=0.8, pos_weight=3.0)
 FOREST = dict(trees=300, depth=8)
 SEED = 42
@@ -40,14 +40,15 @@ def positive_probability(df: DataFrame, col: str = "probability", out: str = "p1
 
 
 def train_logreg(train: DataFrame, features: Sequence[str], label: str, C: float = LOGREG["C"],
-                 max_iter: int = LOGREG["max_iter"], balanced: bool = True) -> PipelineModel:
+                 max_iter: int = LOGREG["max_iter"], balanced: bool = True,
+                 tol: float = LOGREG["tol"]) -> PipelineModel:
     """L2 logistic regression.  sklearn's ``C`` maps to
     ``regParam = 1 / (C * sum(weights))`` (Spark averages the loss over the
     total weight, sklearn sums it; balanced weights sum to n)."""
     data = M.with_class_weight(train, label, "__w") if balanced else train.withColumn("__w", F.lit(1.0))
     n = data.agg(F.sum("__w")).first()[0] or 1.0
     lr = LogisticRegression(featuresCol="features", labelCol=label, weightCol="__w", maxIter=max_iter,
-                            regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False)
+                            regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False, tol=tol)
     return Pipeline(stages=[assembler(features), lr]).fit(data)
 
 

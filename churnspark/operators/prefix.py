@@ -47,7 +47,8 @@ def quantile_splits(df: DataFrame, cols: Sequence[str], n_buckets: int,
     """Strictly increasing bucket splits per column, from ONE approximate
     quantile pass.  Only ``len(cols) x n_buckets`` numbers reach the driver."""
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = int(max(10000, 4 * n_buckets)) if rel_error is None else int(1 / rel_error)
+    # bucket balance needs rank error well below 1/n_buckets, not more
+    acc = int(max(1000, 16 * n_buckets)) if rel_error is None else int(1 / rel_error)
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, acc).alias(f"q{i}")
                    for i, c in enumerate(cols)]).first()
     out = []
