@@ -59,6 +59,31 @@ def quantile_splits(df: DataFrame, cols: Sequence[str], n_buckets: int,
     return out
 
 
+def grouped_quantile_splits(df: DataFrame, group_col: str, value_col: str, n_buckets: int
+                            ) -> dict[str, list[float]]:
+    """Per-group inner split points (``group -> sorted list``) from one
+    grouped ``percentile_approx``; ``groups x n_buckets`` numbers reach the
+    driver (groups are features: a bounded set)."""
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    acc = int(max(1000, 16 * n_buckets))
+    rows = df.groupBy(group_col).agg(F.percentile_approx(F.col(value_col).cast("double"), probs, acc)
+                                     .alias("q")).collect()
+    return {r[0]: sorted({float(x) for x in (r[1] or []) if x is not None and x == x}) for r in rows}
+
+
+def grouped_bucket(group_col: str, value_col: str, splits: dict[str, list[float]]) -> Column:
+    """Bucket = number of the group's split points strictly below the value
+    (monotone in the value inside each group); literal arrays, no join."""
+    v = F.col(value_col).cast("double")
+    expr = F.lit(0)
+    for g, pts in splits.items():
+        if not pts:
+            continue
+        arr = F.array(*[F.lit(p) for p in pts])
+        expr = F.when(F.col(group_col) == F.lit(g), F.size(F.filter(arr, lambda x: x < v))).otherwise(expr)
+    return expr.cast("int")
+
+
 def bucketize(df: DataFrame, cols: Sequence[str], splits: Sequence[Sequence[float]],
               out_cols: Sequence[str]) -> DataFrame:
     """Binary-search bucketing on the JVM (Spark ML Bucketizer)."""

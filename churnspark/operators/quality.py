@@ -171,10 +171,13 @@ def production_quality(train: DataFrame, live: DataFrame, numeric: Sequence[str]
         f"stack({len(parts)}, {', '.join(parts)}) as (feature, kind, n_rows, n_null, n_out_of_range)")
     if categorical:
         # unseen categories: live (feature, value) anti-joined with train's
-        lv = _unpivot_str(live, categorical).where(F.col("value").isNotNull())
+        # counts per live category first (map-side combined: a hot category
+        # becomes one row per task), then the anti-join on the small tables
+        lv = (_unpivot_str(live, categorical).where(F.col("value").isNotNull())
+              .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("__c")))
         tv = _unpivot_str(train, categorical).where(F.col("value").isNotNull()).distinct()
         unseen = (lv.join(tv, ["feature", "value"], "left_anti")
-                  .groupBy("feature").agg(F.count(F.lit(1)).alias("__u")))
+                  .groupBy("feature").agg(F.sum("__c").alias("__u")))
         long = (long.join(F.broadcast(unseen), "feature", "left")
                 .withColumn("n_out_of_range",
                             F.when(F.col("kind") == "categorical", F.coalesce("__u", F.lit(0)))

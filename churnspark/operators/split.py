@@ -31,8 +31,17 @@ def split_hash(key: str, seed: int = SEED):
 
 def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED,
                      train: float = TRAIN_FRACTION, val: float = VAL_FRACTION,
-                     hex_digits: int = HASH_PREFIX_HEX) -> DataFrame:
-    """Return ``df`` with an added ``split`` column (train/val/test)."""
+                     hex_digits: int = HASH_PREFIX_HEX, materialize_input: bool = True) -> DataFrame:
+    """Return ``df`` with an added ``split`` column (train/val/test).
+
+    Exact ranks need two passes (class/bucket counts, then assignment);
+    with ``materialize_input`` the input is checkpointed once so a derived
+    input (joins, aggregates) is not recomputed for the second pass.  Pass
+    ``False`` when ``df`` is already a plain table scan.
+    """
+    if materialize_input:
+        from churnspark.session import materialize
+        df = materialize(df)
     h = df.withColumn("__h", split_hash(key, seed)).withColumn("__one", F.lit(1))
     h = h.withColumn("__bk", F.conv(F.substring("__h", 1, hex_digits), 16, 10).cast("int"))
     ranked = px.prefix_sums(h, [label], ["__h", key], "__bk", ["__one"], prefix="__cum")

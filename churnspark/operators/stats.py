@@ -48,23 +48,22 @@ def median(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) ->
     """``(feature, median)``: exact, linear interpolation between the two
     middle values, nulls (and NaN) ignored; NULL for an all-null column.
 
-    Distributed: distinct values per column are bucketed by approximate
-    quantile boundaries (one pass), running counts come from bucketed prefix
-    sums, and the middle ranks are picked with a grouped aggregate.
+    Distributed, one pass over the input: the ``(feature, value, n)``
+    table of distinct values (map-side combined) is checkpointed; bucket
+    boundaries per feature come from a quantile sketch over that table;
+    running counts come from bucketed prefix sums, and the middle ranks are
+    picked with a grouped aggregate.
     """
+    from churnspark.session import materialize
     cols = list(cols)
     spark = df.sparkSession
     nb = n_buckets or px.default_buckets(spark)
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
                         for c in cols])
-    splits = px.quantile_splits(clean, cols, nb)
-    bcols = [f"__b{i}" for i in range(len(cols))]
-    bucketed = px.bucketize(clean, cols, splits, bcols)
-    long = bucketed.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(b).alias("bucket"))
-        for c, b in zip(cols, bcols)])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
-    vc = long.groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranked = px.prefix_sums(vc, ["feature"], ["value"], "bucket", ["n"])
+    vc = materialize(value_counts(clean, cols, "double"))
+    splits = px.grouped_quantile_splits(vc, "feature", "value", nb)
+    b = vc.withColumn("bucket", px.grouped_bucket("feature", "value", splits))
+    ranked = px.prefix_sums(b, ["feature"], ["value"], "bucket", ["n"])
     # 0-based middle ranks k1 <= k2 of the total count
     k1 = F.floor((F.col("total_n") - 1) / 2)
     k2 = F.ceil((F.col("total_n") - 1) / 2)

@@ -52,6 +52,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def materialize(df):
+    """Reliable checkpoint to the shared checkpoint folder (eager).
+
+    Used where an operator must read its input twice (a counting pass and
+    an assignment pass): the input is computed once, written, and both
+    passes -- and any task retry after a lost executor -- read the written
+    copy instead of recomputing the upstream plan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
