@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.operators import stats
@@ -101,13 +101,17 @@ def label_encode_fit(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: distinct non-null text values sorted lexicographically
     (code-point order) -> codes ``0..k-1``.
 
-    The window is partitioned by column over DISTINCT values only (a
-    categorical column's cardinality), after a map-side combined distinct.
+    Distinct values (map-side combined) are range-bucketed and ranked with
+    the distributed prefix sums, so even a very wide column is never ranked
+    inside a single task.
     """
-    vc = stats.value_counts(train, cols)
-    w = Window.partitionBy("feature").orderBy("value")
-    return vc.select(F.col("feature").alias("col_name"), "value",
-                     (F.row_number().over(w) - 1).cast("int").alias("code"))
+    from churnspark.operators import prefix as px
+    vc = stats.value_counts(train, cols).select("feature", "value", F.lit(1).alias("__one"))
+    nb = px.default_buckets(train.sparkSession)
+    b = px.range_bucketed(vc, ["feature", "value"], nb)
+    ranked = px.prefix_sums(b, ["feature"], ["value"], "__bk", ["__one"], prefix="__cum", with_totals=False)
+    return ranked.select(F.col("feature").alias("col_name"), "value",
+                         F.col("__cum__one").cast("int").alias("code"))
 
 
 def label_encode_apply(df: DataFrame, encoders: DataFrame, cols: Sequence[str] | None = None,
@@ -196,19 +200,18 @@ def fit_all(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
     aggregation passes read them) and released afterwards; the returned
     parameter tables are materialised, so nothing downstream re-reads the
     training lineage.  Fills and scaler have one row per column; the encoder
-    table (one row per category) is checkpointed to the shared checkpoint
-    folder instead of being collected.
+    table (one row per category) is written to the shared checkpoint folder
+    instead of being collected.
     """
     from pyspark import StorageLevel
-    from churnspark.session import checkpoint_root
+    from churnspark.session import materialize
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fills_rows = fill_fit(train, numeric, categorical).collect()   # one row per column
         fd = {r["col_name"]: (r["num_fill"] if r["cat_fill"] is None else r["cat_fill"]) for r in fills_rows}
         filled = fill_apply(train, fd)
-        checkpoint_root(spark)
-        encoders = label_encode_fit(filled, categorical).checkpoint(eager=True)
+        encoders = materialize(label_encode_fit(filled, categorical), "encoders")
         scaler_rows = scale_fit(filled, numeric).collect()              # one row per column
     finally:
         train.unpersist()

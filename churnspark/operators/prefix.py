@@ -101,6 +101,17 @@ def bucketize(df: DataFrame, cols: Sequence[str], splits: Sequence[Sequence[floa
     return res
 
 
+def range_bucketed(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
+                   bucket_col: str = "__bk") -> DataFrame:
+    """Bucket = range partition of ``order_cols`` (any orderable types,
+    strings included).  Range bounds are sampled, so the bucketed table is
+    written once (``materialize``) and every later read -- and any retry --
+    sees the same buckets."""
+    from churnspark.session import materialize
+    r = df.repartitionByRange(n_buckets, *order_cols).withColumn(bucket_col, F.spark_partition_id())
+    return materialize(r, "range_buckets")
+
+
 def prefix_sums(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str | Column],
                 bucket_col: str, sum_cols: Sequence[str], prefix: str = "cum_",
                 with_totals: bool = True) -> DataFrame:

@@ -569,6 +569,27 @@ ORACLES["baseline_profile"] = W(DRIFT) + " UNION ALL ".join(
 # ---------------------------------------------------------- 2.12 streaming
 ORACLES["stream_daily_rate"] = ORACLES["agg_daily_rate"]
 
+# ------------------------------------------- deterministic jobs and streams
+ORACLES["auto_featurize"] = W(CHURN_BASE) + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, '{k}' AS kind, count(DISTINCT {c}) AS n_distinct FROM churn_base"
+    for c, k in [("c_mktsegment", "categorical"), ("n_name", "categorical"), ("c_acctbal", "numeric"),
+                 ("n_orders", "numeric"), ("tenure", "numeric"), ("total", "numeric")])
+ORACLES["job_ingest"] = W(CHURN_BASE) + """
+SELECT count(*) AS rows_saved, count(*) FILTER (WHERE c_custkey % 10 = 0) AS null_total,
+       sum(churn) AS churned, count(*) AS rows_loaded FROM churn_base"""
+ORACLES["job_prepare"] = W(CHURN_SPLIT) + "SELECT split, churn, count(*) AS n FROM churn_split GROUP BY ALL"
+ORACLES["stream_drift"] = _report_sql() + "SELECT 0 AS batch_id, feature, type, drift_score, status FROM rep"
+ORACLES["job_monitor"] = W(LOG, "live AS (SELECT * FROM log WHERE timestamp >= TIMESTAMP '2024-01-16')") + """
+SELECT 'summary' AS table_name, 1 AS n_rows
+UNION ALL SELECT 'daily_rate', count(DISTINCT (CAST(timestamp AS DATE), model)) FROM live
+UNION ALL SELECT 'daily_volume', count(DISTINCT (CAST(timestamp AS DATE), model)) FROM live
+UNION ALL SELECT 'pivot_rate', count(DISTINCT CAST(timestamp AS DATE)) FROM live
+UNION ALL SELECT 'pivot_volume', count(DISTINCT CAST(timestamp AS DATE)) FROM live
+UNION ALL SELECT 'risk', count(DISTINCT (model, risk_level)) FROM live
+UNION ALL SELECT 'avg_probability', count(DISTINCT model) FROM live
+UNION ALL SELECT 'recent', least(count(*), 20) FROM live
+UNION ALL SELECT 'drift', 2"""
+
 
 def oracles() -> dict[str, str]:
     return dict(ORACLES)

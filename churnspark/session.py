@@ -52,16 +52,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
-def materialize(df):
-    """Reliable checkpoint to the shared checkpoint folder (eager).
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` once as a parquet table under the shared checkpoint
+    folder and return the table read back (lineage cut).
 
     Used where an operator must read its input twice (a counting pass and
-    an assignment pass): the input is computed once, written, and both
+    an assignment pass): the input is computed ONCE (``Dataset.checkpoint``
+    would compute it twice: one job to count, one to write), and both
     passes -- and any task retry after a lost executor -- read the written
     copy instead of recomputing the upstream plan.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
