@@ -34,14 +34,17 @@ def daily_volume(log: DataFrame) -> DataFrame:
 def pivot_rate(log: DataFrame, models: Sequence[str]) -> DataFrame:
     """Date x model mean prediction; a missing (date, model) stays NULL.
 
-    The model list is passed explicitly: no extra distinct job."""
-    return _date(log).groupBy("date").pivot("model", list(models)).agg(F.avg("prediction"))
+    One conditional aggregate per listed model in a SINGLE group-by on
+    date (``DataFrame.pivot`` would aggregate twice with two shuffles)."""
+    d = _date(log)
+    return d.groupBy("date").agg(*[F.avg(F.when(F.col("model") == m, F.col("prediction"))).alias(m)
+                                   for m in models])
 
 
 def pivot_volume(log: DataFrame, models: Sequence[str]) -> DataFrame:
     """Date x model row count; a missing (date, model) is 0."""
-    p = _date(log).groupBy("date").pivot("model", list(models)).agg(F.count(F.lit(1)))
-    return p.na.fill(0, subset=list(models))
+    d = _date(log)
+    return d.groupBy("date").agg(*[F.count_if(F.col("model") == m).alias(m) for m in models])
 
 
 def risk_distribution(log: DataFrame) -> DataFrame:

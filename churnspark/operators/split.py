@@ -9,7 +9,7 @@ class proportions match the original 70/15/15 stratified split.
 Scale: a window ``PARTITION BY class`` would put each class -- half the
 table -- into one task.  The md5 prefix is already uniform and monotone in
 the sort key, so it serves directly as the bucket of the distributed prefix
-sum (4096 buckets per class, no sampling pass).
+sum (4096 or 65536 buckets per class, no sampling pass).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from churnspark.operators import prefix as px
 SEED = 42            # fixed value: the original split seed
 TRAIN_FRACTION = 0.70
 VAL_FRACTION = 0.15
-HASH_PREFIX_HEX = 3  # 16**3 = 4096 buckets per class
+HASH_PREFIX_HEX = None  # derived from the configured parallelism (>= 3 hex digits)
 
 
 def split_hash(key: str, seed: int = SEED):
@@ -31,7 +31,7 @@ def split_hash(key: str, seed: int = SEED):
 
 def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED,
                      train: float = TRAIN_FRACTION, val: float = VAL_FRACTION,
-                     hex_digits: int = HASH_PREFIX_HEX, materialize_input: bool = True) -> DataFrame:
+                     hex_digits: int | None = HASH_PREFIX_HEX, materialize_input: bool = True) -> DataFrame:
     """Return ``df`` with an added ``split`` column (train/val/test).
 
     Exact ranks need two passes (class/bucket counts, then assignment);
@@ -39,6 +39,10 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED,
     input (joins, aggregates) is not recomputed for the second pass.  Pass
     ``False`` when ``df`` is already a plain table scan.
     """
+    if hex_digits is None:
+        # 4096 buckets per class, 65536 once the cluster's parallelism asks
+        # for more than 4096 buckets (keeps each bucket's sort small at scale)
+        hex_digits = 3 if px.default_buckets(df.sparkSession) <= 4096 else 4
     if materialize_input:
         from churnspark.session import materialize
         df = materialize(df)

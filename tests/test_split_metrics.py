@@ -86,3 +86,25 @@ def test_auc_weighted_multiclass(spark):
     df = spark.createDataFrame([(0, 0.8, 0.1, 0.1), (1, 0.1, 0.7, 0.2), (2, 0.1, 0.2, 0.7), (1, 0.3, 0.4, 0.3)],
                                "y int, p0 double, p1 double, p2 double")
     assert M.auc_weighted(df, "y", ["p0", "p1", "p2"]).first()[0] == 1.0
+
+
+def test_hot_value_and_partition_invariance(spark):
+    """One score / value holds a third of the rows; results do not depend on
+    spark.sql.shuffle.partitions."""
+    from churnspark.operators import stats as ST
+    rows = [(0.5 if i % 3 == 0 else (i % 997) / 997.0, int(i % 5 == 0)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "s double, y int")
+    out = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out.append((M.roc_auc(df, "y", "s").first()["roc_auc"], ST.median(df, ["s"]).first()["median"],
+                        sorted(tuple(r) for r in stratified_split(
+                            df.withColumn("k", F.monotonically_increasing_id()).select("k", "y"),
+                            "k", "y").groupBy("split", "y").count().collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert out[0] == out[1]
+    assert out[0][0] == pytest.approx(M.window_roc_auc(df, "y", "s").first()["roc_auc"], abs=1e-15)
+    assert out[0][1] == df.agg(F.percentile("s", 0.5)).first()[0]
