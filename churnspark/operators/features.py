@@ -120,8 +120,8 @@ def label_encode_apply(df: DataFrame, encoders: DataFrame, cols: Sequence[str] |
 
     ``strategy``: ``literal`` (map literal, no join), ``join`` (equi-join
     per column) or ``auto`` (literal when the dictionary size is at most
-    ``max_literal`` -- the size is counted first, so nothing unbounded is
-    ever collected).
+    ``max_literal`` -- at most ``max_literal + 1`` rows are fetched to decide,
+    so nothing unbounded is ever collected).
     """
     if cols is None:
         cols = [r[0] for r in encoders.select("col_name").distinct().collect()]
@@ -129,11 +129,14 @@ def label_encode_apply(df: DataFrame, encoders: DataFrame, cols: Sequence[str] |
     if not cols:
         return df
     enc = encoders.where(F.col("col_name").isin(cols))
+    fetched = None
     if strategy == "auto":
-        strategy = "literal" if enc.count() <= max_literal else "join"
+        # one bounded fetch: at most max_literal + 1 rows ever reach the driver
+        fetched = enc.limit(max_literal + 1).collect()
+        strategy = "literal" if len(fetched) <= max_literal else "join"
     if strategy == "literal":
         maps: dict[str, list] = {c: [] for c in cols}
-        for r in enc.collect():  # size checked above
+        for r in (fetched if fetched is not None else enc.collect()):
             maps[r["col_name"]] += [F.lit(r["value"]), F.lit(int(r["code"]))]
         exprs = {}
         for c in cols:
@@ -200,18 +203,18 @@ def fit_all(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
     aggregation passes read them) and released afterwards; the returned
     parameter tables are materialised, so nothing downstream re-reads the
     training lineage.  Fills and scaler have one row per column; the encoder
-    table (one row per category) is written to the shared checkpoint folder
-    instead of being collected.
+    table (one row per category) is derived from a table written to the
+    shared checkpoint folder, never collected here.
     """
     from pyspark import StorageLevel
-    from churnspark.session import materialize
     spark = train.sparkSession
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fills_rows = fill_fit(train, numeric, categorical).collect()   # one row per column
         fd = {r["col_name"]: (r["num_fill"] if r["cat_fill"] is None else r["cat_fill"]) for r in fills_rows}
         filled = fill_apply(train, fd)
-        encoders = materialize(label_encode_fit(filled, categorical), "encoders")
+        # reads a written range-bucket table: short, deterministic lineage
+        encoders = label_encode_fit(filled, categorical)
         scaler_rows = scale_fit(filled, numeric).collect()              # one row per column
     finally:
         train.unpersist()
