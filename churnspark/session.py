@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def get_session(master: str | None = None, app: str = "churnspark",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every job relies on."""
     b = SparkSession.builder.appName(app)
     if master:
@@ -24,6 +24,8 @@ def get_session(master: str | None = None, app: str = "churnspark",
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_job_settings(spark)
