@@ -96,3 +96,26 @@ def ts_display(ts: str | Column) -> Column:
 
 def ts_path(ts: str | Column) -> Column:
     return F.date_format(_c(ts), "yyyy/MM/dd")
+
+
+def request_codes(df, yes_fields=None, dictionaries=None):
+    """Human-readable request fields -> the integer codes of the scoring form.
+
+    Binary fields: ``'Yes'`` -> 1, any other text -> 0; dictionary fields
+    through fixed literal maps (an unknown label -> NULL, so the range check
+    rejects it); NULL stays NULL.  Other columns pass through.
+    """
+    from churnspark.profile import TELCO_CODE_DICTIONARIES, TELCO_YES_FIELDS
+    yes_fields = TELCO_YES_FIELDS if yes_fields is None else yes_fields
+    dictionaries = TELCO_CODE_DICTIONARIES if dictionaries is None else dictionaries
+    out = []
+    for c in df.columns:
+        if c in yes_fields:
+            col = F.col(c).cast("string")
+            out.append(F.when(col.isNull(), F.lit(None).cast("int"))
+                       .otherwise((col == "Yes").cast("int")).alias(c))
+        elif c in dictionaries:
+            out.append(code_dictionary(c, dictionaries[c]).alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)

@@ -146,9 +146,13 @@ def job_train_evaluate(spark: SparkSession, prepared_path: str, profile: Profile
 
 def job_monitor(spark: SparkSession, log: DataFrame, num_profile: DataFrame, cat_profile: DataFrame,
                 models) -> dict[str, DataFrame]:
-    """Every dashboard table off ONE cached scan of the log."""
+    """Every dashboard table off ONE cached scan of the log.
+
+    The persisted log is returned under ``"log"``; call ``unpersist()`` on it
+    once the tables have been consumed."""
     log = log.persist()
     return {
+        "log": log,
         "summary": L.log_summary(log, models),
         "daily_rate": L.daily_rate(log),
         "daily_volume": L.daily_volume(log),
@@ -391,6 +395,8 @@ def q_job_monitor(spark, sf):
     base = log.where(F.col("timestamp") < cut).select("inputs.*")
     num, cat = D.baseline_profile(base, ["value"], ["k"])
     tables = job_monitor(spark, log.where(F.col("timestamp") >= cut), num, cat, fx.LOG_MODELS)
-    counts = [(k, v.count()) for k, v in tables.items()]
+    cached = tables.pop("log")
+    counts = [(k, v.count()) for k, v in tables.items()]   # one small number per table
+    cached.unpersist()
     return spark.createDataFrame(counts, "table_name string, n_rows long")
 

@@ -84,6 +84,21 @@ TELCO_RULES = (
     RangeRule("PaymentMethod", 0, 3), RangeRule("MonthlyCharges", 0, 200),
     RangeRule("TotalCharges", 0, None),
 )
+# Scoring-form label -> code dictionaries (not the fitted encoders: see
+# functions.scalar.request_codes).  Binary fields: "Yes" -> 1, else 0;
+# gender: "Male" -> 1, else 0.
+TELCO_YES_FIELDS = (
+    "SeniorCitizen", "Partner", "Dependents", "PhoneService", "MultipleLines",
+    "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
+    "StreamingTV", "StreamingMovies", "PaperlessBilling",
+)
+TELCO_CODE_DICTIONARIES = {
+    "gender": {"Female": 0, "Male": 1},
+    "InternetService": {"DSL": 0, "Fiber optic": 1, "No": 2},
+    "Contract": {"Month-to-month": 0, "One year": 1, "Two year": 2},
+    "PaymentMethod": {"Electronic check": 0, "Mailed check": 1,
+                      "Bank transfer (automatic)": 2, "Credit card (automatic)": 3},
+}
 # ---------------------------------------------------------------------------
 
 TELCO = Profile(

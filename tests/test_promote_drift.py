@@ -112,3 +112,24 @@ def test_range_check(spark):
                    ("tenure:below,gone:missing", False)]
     ok = [r["accepted"] for r in Q.range_check(df, rules[:1]).collect()]
     assert ok == [True, False, False]
+
+
+def test_request_codes_and_rules(spark):
+    from churnspark.functions.scalar import request_codes
+    from churnspark.profile import TELCO
+    from telco import valid_row
+    r = valid_row()
+    r.pop("customerID"), r.pop("Churn")
+    r.update(SeniorCitizen="No", tenure=12, MonthlyCharges=50.5, TotalCharges=606.0,
+             PaymentMethod="Credit card (automatic)", OnlineSecurity="No internet service")
+    bad = dict(r, Contract="Three year", tenure=99)
+    cols = list(TELCO.feature_order)
+    ddl = ", ".join(f"{c} {'double' if c in ('MonthlyCharges', 'TotalCharges') else 'int' if c == 'tenure' else 'string'}"
+                    for c in cols)
+    df = spark.createDataFrame([tuple(x[c] for c in cols) for x in (r, bad)], ddl)
+    coded = request_codes(df)
+    first = coded.first()
+    assert (first["gender"], first["SeniorCitizen"], first["OnlineSecurity"], first["PaymentMethod"],
+            first["Contract"], first["InternetService"]) == (1, 0, 0, 3, 1, 0)
+    checked = [(x["violations"], x["accepted"]) for x in Q.range_check(coded, TELCO.rules).collect()]
+    assert checked == [("", True), ("tenure:above,Contract:missing", False)]
