@@ -320,8 +320,8 @@ _EXPECTED = ["c_custkey", "c_name", "c_address", "c_nationkey", "c_phone", "c_ac
 ORACLES["dq_required_columns"] = "SELECT e.column_name, CAST(e.ordinal AS INTEGER) AS ordinal, " \
     "c.column_name IS NOT NULL AS present FROM (VALUES " + \
     ", ".join(f"('{c}', {i + 1})" for i, c in enumerate(_EXPECTED)) + \
-    ") e(column_name, ordinal) LEFT JOIN (SELECT column_name FROM information_schema.columns " \
-    "WHERE table_name = 'customer') c ON c.column_name = e.column_name"
+    ") e(column_name, ordinal) LEFT JOIN (SELECT column_name FROM (DESCRIBE customer)) c " \
+    "ON c.column_name = e.column_name"
 
 _CONTRACT = [("c_custkey", False), ("c_name", False), ("c_nationkey", False), ("c_acctbal", False),
              ("c_mktsegment", True)]
