@@ -43,9 +43,9 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED,
         # 4096 buckets per class, 65536 once the cluster's parallelism asks
         # for more than 4096 buckets (keeps each bucket's sort small at scale)
         hex_digits = 3 if px.default_buckets(df.sparkSession) <= 4096 else 4
-    if materialize_input:
+    if materialize_input and not df.is_cached:
         from churnspark.session import materialize
-        df = materialize(df)
+        df = materialize(df, "split_input")
     h = df.withColumn("__h", split_hash(key, seed)).withColumn("__one", F.lit(1))
     h = h.withColumn("__bk", F.conv(F.substring("__h", 1, hex_digits), 16, 10).cast("int"))
     ranked = px.prefix_sums(h, [label], ["__h", key], "__bk", ["__one"], prefix="__cum")

@@ -54,13 +54,13 @@ def median(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) ->
     running counts come from bucketed prefix sums, and the middle ranks are
     picked with a grouped aggregate.
     """
-    from churnspark.session import materialize
+    from churnspark.session import materialize_unless_cached
     cols = list(cols)
     spark = df.sparkSession
     nb = n_buckets or px.default_buckets(spark)
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
                         for c in cols])
-    vc = materialize(value_counts(clean, cols, "double"))
+    vc = materialize_unless_cached(df, value_counts(clean, cols, "double"), "value_counts")
     splits = px.grouped_quantile_splits(vc, "feature", "value", nb)
     b = vc.withColumn("bucket", px.grouped_bucket("feature", "value", splits))
     ranked = px.prefix_sums(b, ["feature"], ["value"], "bucket", ["n"])

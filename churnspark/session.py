@@ -70,6 +70,13 @@ def materialize(df, name: str = "materialized"):
     return spark.read.parquet(path)
 
 
+def materialize_unless_cached(df, derived, name: str = "materialized"):
+    """``materialize(derived)`` -- unless ``df`` (the operator's input) is
+    persisted: then ``derived`` is recomputed from the cache, which is as
+    cheap as reading a written copy and equally deterministic."""
+    return derived if df.is_cached else materialize(derived, name)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
