@@ -106,9 +106,11 @@ def label_encode_fit(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     inside a single task.
     """
     from churnspark.operators import prefix as px
-    vc = stats.value_counts(train, cols).select("feature", "value", F.lit(1).alias("__one"))
-    nb = px.default_buckets(train.sparkSession)
-    b = px.range_bucketed(vc, ["feature", "value"], nb)
+    from churnspark.session import materialize
+    vc = materialize(stats.value_counts(train, cols).select("feature", "value", F.lit(1).alias("__one")),
+                     "distinct_values")
+    nb = px.adaptive_buckets(train.sparkSession, vc.count())   # parquet footers: cheap
+    b = vc.withColumn("__bk", F.lit(0)) if nb <= 1 else px.range_bucketed(vc, ["feature", "value"], nb)
     ranked = px.prefix_sums(b, ["feature"], ["value"], "__bk", ["__one"], prefix="__cum", with_totals=False)
     return ranked.select(F.col("feature").alias("col_name"), "value",
                          F.col("__cum__one").cast("int").alias("code"))

@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 
 MIN_BUCKETS = 16
 MAX_BUCKETS = 8192
+# rows one (group, bucket) window task may sort; at or below it a single
+# bucket is used (a checked, bounded single window partition)
+TARGET_ROWS_PER_BUCKET = 500_000
 
 
 def default_buckets(spark: SparkSession) -> int:
@@ -42,6 +45,15 @@ def default_buckets(spark: SparkSession) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, 4 * n))
 
 
+def adaptive_buckets(spark: SparkSession, n_rows: int, target: int | None = None) -> int:
+    """Buckets for ``n_rows`` ordered rows: 1 when they fit one task's sort,
+    else enough for ``target`` rows each, capped by :func:`default_buckets`."""
+    target = target or TARGET_ROWS_PER_BUCKET
+    if n_rows <= target:
+        return 1
+    return min(default_buckets(spark), -(-n_rows // target))
+
+
 def quantile_splits(df: DataFrame, cols: Sequence[str], n_buckets: int,
                     rel_error: float | None = None) -> list[list[float]]:
     """Strictly increasing bucket splits per column, from ONE approximate
@@ -71,17 +83,23 @@ def grouped_quantile_splits(df: DataFrame, group_col: str, value_col: str, n_buc
     return {r[0]: sorted({float(x) for x in (r[1] or []) if x is not None and x == x}) for r in rows}
 
 
-def grouped_bucket(group_col: str, value_col: str, splits: dict[str, list[float]]) -> Column:
-    """Bucket = number of the group's split points strictly below the value
-    (monotone in the value inside each group); literal arrays, no join."""
-    v = F.col(value_col).cast("double")
-    expr = F.lit(0)
+def grouped_bucketize(df: DataFrame, group_col: str, value_col: str, splits: dict[str, list[float]],
+                      out_col: str = "bucket") -> DataFrame:
+    """Bucket = position of the value among its group's split points (binary
+    search, Spark ML ``Bucketizer``), monotone in the value inside each
+    group.  One filtered pass per group (groups are features), unioned."""
+    parts = []
     for g, pts in splits.items():
-        if not pts:
-            continue
-        arr = F.array(*[F.lit(p) for p in pts])
-        expr = F.when(F.col(group_col) == F.lit(g), F.size(F.filter(arr, lambda x: x < v))).otherwise(expr)
-    return expr.cast("int")
+        full = [float("-inf")] + list(pts) + [float("inf")] if pts else [float("-inf"), 0.0, float("inf")]
+        sub = df.where(F.col(group_col) == F.lit(g)).withColumn("__bk_v", F.col(value_col).cast("double"))
+        b = Bucketizer(splits=full, inputCol="__bk_v", outputCol=out_col, handleInvalid="keep")
+        parts.append(b.transform(sub).drop("__bk_v").withColumn(out_col, F.col(out_col).cast("int")))
+    if not parts:
+        return df.withColumn(out_col, F.lit(0))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 def bucketize(df: DataFrame, cols: Sequence[str], splits: Sequence[Sequence[float]],

@@ -57,12 +57,17 @@ def median(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) ->
     from churnspark.session import materialize_unless_cached
     cols = list(cols)
     spark = df.sparkSession
-    nb = n_buckets or px.default_buckets(spark)
+    nb = n_buckets
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
                         for c in cols])
     vc = materialize_unless_cached(df, value_counts(clean, cols, "double"), "value_counts")
-    splits = px.grouped_quantile_splits(vc, "feature", "value", nb)
-    b = vc.withColumn("bucket", px.grouped_bucket("feature", "value", splits))
+    if n_buckets is None:
+        nb = px.adaptive_buckets(spark, vc.count())   # parquet footer / cache count: cheap
+    if nb <= 1:
+        b = vc.withColumn("bucket", F.lit(0))
+    else:
+        splits = px.grouped_quantile_splits(vc, "feature", "value", nb)
+        b = px.grouped_bucketize(vc, "feature", "value", splits, "bucket")
     ranked = px.prefix_sums(b, ["feature"], ["value"], "bucket", ["n"])
     # 0-based middle ranks k1 <= k2 of the total count
     k1 = F.floor((F.col("total_n") - 1) / 2)

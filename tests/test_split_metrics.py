@@ -108,3 +108,22 @@ def test_hot_value_and_partition_invariance(spark):
     assert out[0] == out[1]
     assert out[0][0] == pytest.approx(M.window_roc_auc(df, "y", "s").first()["roc_auc"], abs=1e-15)
     assert out[0][1] == df.agg(F.percentile("s", 0.5)).first()[0]
+
+
+def test_bucketed_paths_when_tables_are_large(spark, monkeypatch):
+    """Force many buckets (tiny per-bucket target): encoder codes, medians and
+    AUC still equal their single-window forms."""
+    from churnspark.operators import features as FE, prefix as px, stats as ST
+    df = spark.range(0, 3000).select(
+        F.concat(F.lit("v"), (F.col("id") * 7 % 701).cast("string")).alias("c"),
+        (F.col("id") * 13 % 997).cast("double").alias("x"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    base_codes = {(r[0], r[1]): r[2] for r in FE.label_encode_fit(df, ["c"]).collect()}
+    base_med = ST.median(df, ["x"]).first()["median"]
+    base_auc = M.roc_auc(df, "y", "x").first()["roc_auc"]
+    monkeypatch.setattr(px, "TARGET_ROWS_PER_BUCKET", 50)
+    assert px.adaptive_buckets(spark, 3000) > 1
+    assert {(r[0], r[1]): r[2] for r in FE.label_encode_fit(df, ["c"]).collect()} == base_codes
+    assert ST.median(df, ["x"]).first()["median"] == base_med == df.agg(F.percentile("x", 0.5)).first()[0]
+    assert M.roc_auc(df, "y", "x").first()["roc_auc"] == pytest.approx(base_auc, abs=1e-15)
+    values = sorted({r[0] for r in df.select("c").distinct().collect()})
+    assert [base_codes[("c", v)] for v in values] == list(range(len(values)))
