@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from churnspark.functions.scalar import risk_band
 from churnspark.operators.split import stratified_split
-from churnspark.session import ensure_job_settings
+from churnspark.session import ensure_job_settings, materialize
 
 DRIFT_CUT = "1999-01-01"   # lineitem before = baseline, from = live
 CHURN_HORIZON_DAYS = 365   # label window after the feature cutoff
@@ -61,7 +61,9 @@ def churn_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratified_split(churn_base(spark, sf_dir), "c_custkey", "churn")
+    """The split, written once as a table (as a prepare job would): every
+    consumer (fits, applies, metrics) reads it instead of re-ranking."""
+    return materialize(stratified_split(churn_base(spark, sf_dir), "c_custkey", "churn"), "churn_split")
 
 
 def churn_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +82,8 @@ def churn_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def churn_nulls_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratified_split(churn_with_nulls(spark, sf_dir), "c_custkey", "churn")
+    return materialize(stratified_split(churn_with_nulls(spark, sf_dir), "c_custkey", "churn"),
+                       "churn_nulls_split")
 
 
 def scored_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
