@@ -36,27 +36,34 @@ def churn_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer features up to a cutoff, label = no order after it.
 
     cutoff = max(o_orderdate) - 365 days, as a scalar subquery (no join).
-    Two aggregates over ``orders`` keyed by customer (map-side combined),
-    one left join for the label, one join to the 25-row ``nation``.
+    ONE conditional aggregate over ``orders`` keyed by customer (map-side
+    combined): features of the orders up to the cutoff and a flag for any
+    order after it, so ``orders`` is scanned and shuffled once for both.
+    Customers without an order up to the cutoff are dropped (as an inner
+    join to the feature aggregate would).  One join to ``customer`` on the
+    key, one to the 25-row ``nation``.
     """
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     cutoff = (table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar()
               - F.expr(f"INTERVAL {CHURN_HORIZON_DAYS} DAYS"))
-    before = orders.where(F.col("o_orderdate") <= cutoff)
-    feats = before.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_d"),
-                                            F.sum("o_totalprice").alias("total"),
-                                            F.count(F.lit(1)).alias("n_orders"))
-    later = orders.where(F.col("o_orderdate") > cutoff).select(F.col("o_custkey").alias("l_cust")).distinct()
+    d = F.col("o_orderdate")
+    before = d <= cutoff
+    feats = (orders.where(d.isNotNull() & F.col("o_custkey").isNotNull())
+             .groupBy("o_custkey")
+             .agg(F.min(F.when(before, d)).alias("first_d"),
+                  F.sum(F.when(before, F.col("o_totalprice"))).alias("total"),
+                  F.count_if(before).alias("n_orders"),
+                  F.max(d > cutoff).alias("has_later"))
+             .where(F.col("n_orders") > 0))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (cust.join(feats, cust.c_custkey == feats.o_custkey)
-         .join(nation, cust.c_nationkey == nation.n_nationkey)
-         .join(later, cust.c_custkey == later.l_cust, "left"))
+         .join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey))
     return j.select(
         "c_custkey", "c_mktsegment", "n_name", "c_acctbal", "n_orders",
         F.floor(F.datediff(cutoff, F.col("first_d")) / 30).cast("int").alias("tenure"),
         "total",
-        F.when(F.col("l_cust").isNull(), 1).otherwise(0).alias("churn"),
+        F.when(F.col("has_later"), 0).otherwise(1).alias("churn"),
     )
 
 
