@@ -44,7 +44,7 @@ def churn_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, one to the 25-row ``nation``.
     """
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
-    cutoff = (table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar()
+    cutoff = (orders.agg(F.max("o_orderdate")).scalar()
               - F.expr(f"INTERVAL {CHURN_HORIZON_DAYS} DAYS"))
     d = F.col("o_orderdate")
     before = d <= cutoff

@@ -676,7 +676,9 @@ def scalar_json_roundtrip(spark, sf):
 # --------------------------------------------------------------- 2.9 split
 @q("stratified_split")
 def stratified_split_q(spark, sf):
-    return fx.churn_split(spark, sf).select("c_custkey", "churn", "split")
+    # the operator itself (its input is written once inside it); writing the
+    # split as a table for several consumers is ``churn_split`` / sink_splits
+    return stratified_split(fx.churn_base(spark, sf), "c_custkey", "churn").select("c_custkey", "churn", "split")
 
 
 # ----------------------------------------------------------------- 2.11 drift

@@ -67,7 +67,8 @@ def materialize(df, name: str = "materialized"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer read or inference on the way back
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize_unless_cached(df, derived, name: str = "materialized"):
