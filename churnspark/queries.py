@@ -420,8 +420,8 @@ def _candidates(versions: DataFrame) -> DataFrame:
                                           F.col("version")).alias("r")).select("name", "r.*")
 
 
-def _decisions(spark, sf):
-    v = _versions(spark, sf)
+def _decisions(spark, sf, v: DataFrame | None = None):
+    v = _versions(spark, sf) if v is None else v
     j = P.join_champion(_candidates(v), P.production_metrics(v))
     cand = _candidates(v).select("name", "version")
     return P.promote_decision(j).join(cand, "name")
@@ -446,7 +446,7 @@ def promote_decision(spark, sf):
 @q("promote_transition")
 def promote_transition(spark, sf):
     v = _versions(spark, sf)
-    new = P.promote_transition(v, _decisions(spark, sf))
+    new = P.promote_transition(v, _decisions(spark, sf, v))
     return new.select("name", "version", "stage", r("roc_auc", 10).alias("roc_auc"))
 
 
