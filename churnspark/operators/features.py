@@ -123,7 +123,8 @@ def label_encode_apply(df: DataFrame, encoders: DataFrame, cols: Sequence[str] |
     ``strategy``: ``literal`` (map literal, no join), ``join`` (equi-join
     per column) or ``auto`` (literal when the dictionary size is at most
     ``max_literal`` -- at most ``max_literal + 1`` rows are fetched to decide,
-    so nothing unbounded is ever collected).
+    so nothing unbounded is ever collected).  ``literal`` obeys the same
+    bound: a larger dictionary is applied by the join.
     """
     if cols is None:
         cols = [r[0] for r in encoders.select("col_name").distinct().collect()]
@@ -131,14 +132,15 @@ def label_encode_apply(df: DataFrame, encoders: DataFrame, cols: Sequence[str] |
     if not cols:
         return df
     enc = encoders.where(F.col("col_name").isin(cols))
-    fetched = None
-    if strategy == "auto":
-        # one bounded fetch: at most max_literal + 1 rows ever reach the driver
+    if strategy in ("auto", "literal"):
+        # one bounded fetch: at most max_literal + 1 rows ever reach the driver;
+        # a larger dictionary (even when a literal map was asked for) is
+        # applied by the equi-join, which gives the same codes
         fetched = enc.limit(max_literal + 1).collect()
         strategy = "literal" if len(fetched) <= max_literal else "join"
     if strategy == "literal":
         maps: dict[str, list] = {c: [] for c in cols}
-        for r in (fetched if fetched is not None else enc.collect()):
+        for r in fetched:
             maps[r["col_name"]] += [F.lit(r["value"]), F.lit(int(r["code"]))]
         exprs = {}
         for c in cols:

@@ -67,6 +67,16 @@ def test_encode_reuse_unseen(spark, telco):
         assert [tuple(r) for r in got] == [(0, -1), (-1, 0)]
 
 
+def test_literal_over_cap_uses_join(spark, telco):
+    filled = FE.impute_self(telco, NUM, CAT)
+    enc = FE.label_encode_fit(filled, CAT)
+    other = spark.createDataFrame([("Female", "Carrier pigeon"), (None, "DSL")], "gender string, InternetService string")
+    # a cap below the dictionary size: the literal request must not collect it whole
+    got = FE.label_encode_apply(other, enc, ["gender", "InternetService"], strategy="literal",
+                                max_literal=2).collect()
+    assert [tuple(r) for r in got] == [(0, -1), (-1, 0)]
+
+
 def test_scale(telco):
     filled = FE.impute_self(telco, NUM, CAT)
     sc = FE.scale_fit(filled, NUM)
