@@ -135,7 +135,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
                                     n_words(text_of(text_col)).alias("size")), "sizes")
     sources = materialize(source_targets(sized, weights, factor, max_repeats, block_words, min_slots), "sources")
     usage = block_usage(schedule(sources), sources)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.col("doc_id")
+    if "struct" in dict(sized.dtypes)["doc_id"]:
+        key = F.to_json(key)
+    key = F.coalesce(key.cast("string"), F.lit(""))
     s = sources.withColumnRenamed("source", "s_source")
     rows = (sized.join(s, sized["source"].eqNullSafe(s["s_source"]))
             .select("doc_id", "source", "size", "k", "source_size", "target", "block",

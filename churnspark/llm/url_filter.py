@@ -4,7 +4,7 @@ Method: listed URLs are canonical strings.  A blocked Bloom filter (one 512-bit
 block per hash, eight bits set in it) of the list passes possible hits to an
 exact hash join, which removes the false positives.
 
-Scale: the filter has at most ``max_blocks`` blocks of 64 bytes whatever the
+Scale: the filter has at most ``MAX_BLOCKS`` blocks of 64 bytes whatever the
 list's size -- a longer list lets more rows through to the exact join, it never
 grows the broadcast.  Only possible hits are shuffled.  Rules are a short list
 given by the caller and become one ordered expression.
@@ -16,11 +16,10 @@ alike; an empty list or table is fine; extra columns don't take part.
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnspark.llm.bloom import bloom_filter, with_possible
 from churnspark.llm.common import ascii_lower
 from churnspark.session import materialize
 
@@ -30,7 +29,6 @@ RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
          ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 #: First host labels whose pages make up the blocked list of the query.
 BAD_SITES = ("ads-track", "casino-win", "spam-farm", "adult-x", "cheap-pills", "free-bets")
-LONGS = 8
 
 
 def host_of(url: Column) -> Column:
@@ -64,23 +62,6 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
     return (none if name is None else name), (none if says is None else says)
 
 
-def _bits(key: Column, n_blocks: int) -> tuple[Column, list[Column]]:
-    """Block number, and one mask per long of the block (one bit in each)."""
-    h, g = F.xxhash64(key), F.xxhash64(F.lit(11), key)
-    return (F.pmod(h, F.lit(n_blocks)).cast("int"),
-            [F.call_function("shiftleft", F.lit(1).cast("long"), F.call_function(
-                "shiftrightunsigned", g, F.lit(6 * i)).bitwiseAND(F.lit(63)).cast("int")) for i in range(LONGS)])
-
-
-def bloom_filter(keys: DataFrame, key: str, bits_per_key: int = 12, max_blocks: int = 1 << 17) -> tuple[DataFrame, int]:
-    """(block, m0..m7) of the blocks that are set, and the number of blocks.
-    The table has at most ``max_blocks`` rows (8 MB of masks by default)."""
-    n_blocks = max(1, min(max_blocks, ceil(keys.count() * bits_per_key / (64 * LONGS))))
-    block, masks = _bits(F.col(key), n_blocks)
-    blocks = keys.groupBy(block.alias("block")).agg(*[F.bit_or(m).alias(f"m{i}") for i, m in enumerate(masks)])
-    return blocks, n_blocks
-
-
 def judge(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """page_id, host, path, rule, verdict, canonical, listed, possible (passed the
     Bloom filter).  ``listed`` has one column ``canonical``."""
@@ -89,13 +70,7 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, id_col: str = "page_
     keyed = parsed.withColumn("canonical", canonical(F.col("url"), F.col("host"), F.col("path"))).drop("url")
     wanted = materialize(listed.select("canonical").where("canonical IS NOT NULL").distinct(), "listed_urls")
     blocks, n_blocks = bloom_filter(wanted, "canonical")
-    block, masks = _bits(F.col("canonical"), n_blocks)
-    # bounded by max_blocks rows of 68 bytes, whatever the list's size
-    tested = keyed.withColumn("block", block).join(F.broadcast(blocks), "block", "left")
-    hit = F.lit(True)
-    for i, m in enumerate(masks):
-        hit = hit & (F.col(f"m{i}").bitwiseAND(m) != 0)
-    tested = tested.select("page_id", "host", "path", "canonical", F.coalesce(hit, F.lit(False)).alias("possible"))
+    tested = with_possible(keyed, F.col("canonical"), blocks, n_blocks)
     exact = tested.where("possible").join(wanted.withColumn("listed", F.lit(True)), "canonical", "left")
     both = exact.withColumn("listed", F.coalesce("listed", F.lit(False))).unionByName(
         tested.where("NOT possible").withColumn("listed", F.lit(False)))
