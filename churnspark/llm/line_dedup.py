@@ -55,7 +55,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Rows of ``docs`` as struct ``row`` with ``clean_text``, ``n_lines``
     (before) and ``n_dropped``."""
     lines = materialize(line_table(docs, id_col, text_col, min_chars), "lines")
-    dropped = (lines.join(repeated_keys(lines, min_docs), ["h1", "h2"])
+    # written, so that both sides of the join are dealt out for it alone and a hot key can be split
+    repeated = materialize(repeated_keys(lines, min_docs), "repeated")
+    dropped = (lines.join(repeated, ["h1", "h2"])
                .where(F.col("id") != F.col("first_id"))
                .groupBy("id", "text_hash").agg(F.collect_set("pos").alias("gone")))
     rows = packed(docs, F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("text_hash"))
