@@ -6,11 +6,19 @@ A *word* is a maximal run of characters other than space and U+0009..U+000D;
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import cache
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import churnspark
+
 SPACES = " \t\n\x0b\f\r"
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 NON_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -66,3 +74,20 @@ def packed(docs: DataFrame, *extra: Column) -> DataFrame:
 def unpacked(df: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
     """The caller's columns back from ``row``; ``replaced`` overrides some."""
     return df.select(*[(replaced[c] if c in replaced else F.col("row").getField(c)).alias(c) for c in columns])
+
+
+@cache
+def _shipped(application: str) -> None:
+    """Send this package to the executors' Python workers, once per application."""
+    home = Path(churnspark.__file__).parent
+    path = os.path.join(tempfile.mkdtemp(prefix="churnspark-ship-"), "churnspark.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(home.rglob("*.py")):
+            out.write(f, f.relative_to(home.parent))
+    SparkSession.active().sparkContext.addPyFile(path)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package wherever they run."""
+    _shipped(df.sparkSession.sparkContext.applicationId)
+    return df.mapInArrow(run, schema)

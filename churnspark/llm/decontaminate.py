@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import text_of
+from churnspark.llm.common import map_arrow, text_of
 from churnspark.llm.tokens import U64, chunks, grams, mix, word_hashes
 from churnspark.session import materialize
 
@@ -74,7 +74,7 @@ def items_table(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
                        pa.array([simhash(s) if len(s) else 0 for s in sh], pa.int64())]
                 yield pa.RecordBatch.from_arrays([x.filter(keep) for x in out], names=["item_id", "size", "shingles", "fp"])
 
-    return src.mapInArrow(run, f"item_id {kind}, size int, shingles array<long>, fp long")
+    return map_arrow(src, run, f"item_id {kind}, size int, shingles array<long>, fp long")
 
 
 class BitSet:
@@ -109,7 +109,7 @@ def _sized_keys(items: DataFrame) -> DataFrame:
                                          for n, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], names=["key"])
 
-    return items.select("size", "shingles").mapInArrow(run, "key long")
+    return map_arrow(items.select("size", "shingles"), run, "key long")
 
 
 def windows(docs: DataFrame, sizes: list[int], alone: BitSet, sized: BitSet, percent: int) -> DataFrame:
@@ -154,7 +154,7 @@ def windows(docs: DataFrame, sizes: list[int], alone: BitSet, sized: BitSet, per
                          pa.array(start, pa.int64()), pa.array(sh, pa.list_(pa.int64())), pa.array(fp, pa.int64())],
                         names=["doc_id", "text_hash", "size", "start", "shingles", "fp"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, text_hash long, size int, start long, shingles array<long>, fp long")
+    return map_arrow(docs, run, f"doc_id {kind}, text_hash long, size int, start long, shingles array<long>, fp long")
 
 
 def _block(fp, k: int):
@@ -198,7 +198,7 @@ def verified(pairs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(mask) for c in range(4)] + [pa.array(value).filter(mask)],
                                              names=["doc_id", "text_hash", "item_id", "start", "similarity"])
 
-    return met.mapInArrow(run, f"doc_id {doc}, text_hash long, item_id {item}, start long, similarity double")
+    return map_arrow(met, run, f"doc_id {doc}, text_hash long, item_id {item}, start long, similarity double")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",

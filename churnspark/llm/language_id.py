@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from churnspark.llm.common import fold, packed
+from churnspark.llm.common import fold, map_arrow, packed
 from churnspark.llm.tokens import U64, mix, text_bytes
 from churnspark.session import materialize
 
@@ -209,7 +209,7 @@ def train(docs: DataFrame, usable: Column | None = None, max_docs: int = MAX_DOC
                                                  names=["lang", "cell", "n"])
 
     # at most (BUCKETS + scripts) rows a language
-    rows = chosen.mapInArrow(run, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
+    rows = map_arrow(chosen, run, "lang string, cell long, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(r for r in set(rows.column("lang").to_pylist()))
     of = np.array([names.index(x) for x in rows.column("lang").to_pylist()], np.int64)
     cell, n = rows.column("cell").to_numpy().astype(np.int64), rows.column("n").to_numpy()
@@ -255,7 +255,7 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> Data
             if waiting:
                 yield flush(len(row))
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def predict(docs: DataFrame) -> DataFrame:

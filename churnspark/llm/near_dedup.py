@@ -11,7 +11,10 @@ of *other* components with them, merges what is confirmed, and retires the
 hubs.  A bucket is done once the members that were never hubs lie in one
 component: every pair in it has then been compared or is already connected,
 so no link between components is lost and a bucket of near copies takes one
-round, with as many comparisons as members.
+or two rounds, with as many comparisons as members.  After the first round the
+shingles that a text shares with no other one left are counted: they bound its
+similarity with any of them from above, which settles texts that lie just
+outside the threshold of a large group without comparing them pair by pair.
 
 Recall: with similarity 0.85 a pair misses all 24 bands of 6 minima with
 probability (1 - 0.85^6)^24 = 1.2e-5.  The signature check only leaves out
@@ -33,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm.bloom import bloom_filter, with_possible
+from churnspark.llm.common import map_arrow
 from churnspark.llm.components import components
 from churnspark.llm.tokens import U64, chunks, mix, shingle_sets, word_hashes
 from churnspark.session import materialize
@@ -93,7 +97,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                      pa.array(_signed(sketch[:, 1].copy()))],
                     names=["doc_id", "n_shingles", "f1", "f2", "bands", "s1", "s2"])
 
-    return src.mapInArrow(run, f"doc_id {id_type}, n_shingles long, f1 long, f2 long, bands array<long>, s1 long, s2 long")
+    return map_arrow(src, run, f"doc_id {id_type}, n_shingles long, f1 long, f2 long, bands array<long>, s1 long, s2 long")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -121,20 +125,69 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["u", "v"])
 
-    return met.mapInArrow(run, f"u {kind}, v {kind}")
+    return map_arrow(met, run, f"u {kind}, v {kind}")
 
 
-def _unresolved(members: DataFrame) -> DataFrame:
-    """Members of buckets that still hold more than one component."""
-    open_ = (members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("bucket"))
-    return members.join(open_, "bucket", "left_semi")
+def private_shingles(texts: DataFrame) -> DataFrame:
+    """(rep, private): shingles that no other of these texts has.  An id with
+    several texts counts 0, which only weakens the bound made from it."""
+    kind = texts.schema["rep"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, at in chunks(batch.column(1)):
+                sets = [s.view(np.int64) for s in shingle_sets(*word_hashes(data, at))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sets, pa.list_(pa.int64()))],
+                                                 names=["rep", "shingles"])
+
+    each = map_arrow(texts, run, f"rep {kind}, shingles array<long>").select("rep", F.explode("shingles").alias("s"))
+    own = each.groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).where("n = 1")
+    several = texts.groupBy("rep").count().where("count > 1").select("rep")
+    return own.groupBy("rep").agg(F.count("*").alias("private")).join(several, "rep", "left_anti")
+
+
+def _unresolved(members: DataFrame, percent: int) -> DataFrame:
+    """Members that may have a link to another component in their bucket.
+
+    Of the n shingles of a member at most ``shared`` are in any other text, so
+    a partner of m shingles needs (100 + percent) shared >= percent (n + m);
+    a member for which even the smallest m of the bucket is too much is done,
+    and so is a bucket with one component.
+    """
+    able = members.join(materialize(members.groupBy("bucket").agg(F.min("n").alias("m")), "bucket_least"), "bucket").where(
+        (100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("m"))).drop("m")
+    open_ = materialize(able.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                        .where("lo <> hi").select("bucket"), "open_buckets")
+    return able.join(open_, "bucket", "left_semi")
+
+
+def _hubs(members: DataFrame, per_bucket: int) -> DataFrame:
+    """One hub for each of ``per_bucket`` slots of a bucket: the member with
+    the fewest private shingles, which lies closest to the others."""
+    slot = F.pmod(F.xxhash64("rep", F.lit(per_bucket)), F.lit(per_bucket))
+    first = F.struct((F.col("n") - F.col("shared")).alias("private"), F.xxhash64("rep", "bucket").alias("order"),
+                     "rep", "comp", "n", "shared", "s1", "s2")
+    return members.groupBy("bucket", slot.alias("slot")).agg(F.min(first).alias("hub")).select(
+        "bucket", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in ("rep", "comp", "n", "shared", "s1", "s2")])
+
+
+def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members and hubs of other components whose sizes, shared
+    shingles and signatures allow a link."""
+    near = (F.bit_count(F.col("s1").bitwiseXOR(F.col("h_s1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("h_s2")))
+            <= MAX_DIFFERENT)
+    sizes = 100 * F.least("n", "h_n") >= percent * F.greatest("n", "h_n")
+    shared = (100 + percent) * F.least("shared", "h_shared") >= percent * (F.col("n") + F.col("h_n"))
+    return (members.join(hubs, "bucket").where((F.col("comp") != F.col("h_comp")) & sizes & shared & near)
+            .select(F.col("rep").alias("a"), F.col("h_rep").alias("b")).distinct())
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the classes that are connected to a smaller one."""
-    fresh = classes.select("rep", F.col("rep").alias("comp"), "n", "s1", "s2", F.explode("bands").alias("bucket"))
-    members = materialize(_unresolved(fresh), "members")
+    columns = ["rep", "comp", "n", "shared", "s1", "s2", "bucket"]
+    fresh = classes.select("rep", F.col("rep").alias("comp"), "n", F.col("n").alias("shared"), "s1", "s2",
+                           F.explode("bands").alias("bucket"))
+    members = materialize(_unresolved(fresh, percent).select(*columns), "members")
     wanted = members.select("rep").distinct()
     # only texts that have a candidate: Bloom filter of fixed size, then the exact join
     blocks, n_blocks = bloom_filter(wanted, "rep")
@@ -143,18 +196,10 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
     texts = materialize(possible.join(wanted, "rep", "left_semi"), "texts")
     spark = docs.sparkSession
     component = spark.createDataFrame([], classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).schema)
-    hubs = 1
+    per_bucket = 1
     while members.take(1):
-        slot = F.pmod(F.xxhash64("rep", F.lit(hubs)), F.lit(hubs))
-        chosen = (members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("rep", "comp", "n", "s1", "s2")).alias("hub"))
-                  .select("bucket", *[F.col(f"hub.{c}").alias(f"h_{c}") for c in ("rep", "comp", "n", "s1", "s2")]))
-        chosen = materialize(chosen, "hubs")
-        near = (F.bit_count(F.col("s1").bitwiseXOR(F.col("h_s1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("h_s2")))
-                <= MAX_DIFFERENT)
-        sizes = 100 * F.least("n", "h_n") >= percent * F.greatest("n", "h_n")
-        pairs = (members.join(chosen, "bucket").where((F.col("comp") != F.col("h_comp")) & sizes & near)
-                 .select(F.col("rep").alias("a"), F.col("h_rep").alias("b")).distinct())
-        links = materialize(confirm(pairs, texts, percent), "links")
+        hubs = materialize(_hubs(members, per_bucket), "hubs")
+        links = materialize(confirm(hub_pairs(members, hubs, percent), texts, percent), "links")
         # components of components: links between the current component ids
         name = lambda side: component.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
         between = links.join(name("u"), "u", "left").join(name("v"), "v", "left").select(
@@ -164,12 +209,16 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
         component = materialize(component.join(moved, "component", "left")
                                 .select("node", F.coalesce("to", "component").alias("component"))
                                 .unionByName(merged.join(component, "node", "left_anti")), "component")
-        retired = chosen.select("bucket", F.col("h_rep").alias("rep"))
-        left = (members.join(retired, ["bucket", "rep"], "left_anti").drop("comp")
+        retired = hubs.select("bucket", F.col("h_rep").alias("rep"))
+        left = (members.join(retired, ["bucket", "rep"], "left_anti").drop("comp", "shared")
                 .join(component.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
-                .withColumn("comp", F.coalesce("comp", "rep")))
-        members = materialize(_unresolved(left.select("rep", "comp", "n", "s1", "s2", "bucket")), "members")
-        hubs *= HUB_GROWTH
+                .withColumn("comp", F.coalesce("comp", "rep")).withColumn("shared", F.col("n")))
+        left = materialize(_unresolved(left.select(*columns), percent).select(*columns), "left")
+        # what is shared among the texts that are left: fewer every round, so the bound gets tighter
+        own = private_shingles(texts.join(left.select("rep").distinct(), "rep", "left_semi"))
+        left = left.join(own, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("private", F.lit(0)))
+        members = materialize(_unresolved(left.select(*columns), percent).select(*columns), "members")
+        per_bucket *= HUB_GROWTH
     return component
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.llm.common import fold, text_of
+from churnspark.llm.common import fold, map_arrow, text_of
 from churnspark.llm.tokens import LOWER, U64, chunks, word_hashes
 from churnspark.session import materialize
 
@@ -162,7 +162,7 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
             n = np.concatenate([gn, wn, [n_texts]])
             yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(n)], names=["kind", "key", "n"])
 
-    return texts.mapInArrow(run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return map_arrow(texts, run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
 def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX_NODES,
@@ -206,8 +206,8 @@ def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX
                      pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
                     names=["doc_id", "text_hash", "held_out", "words", "hot", "hot_score", "score", "rare", "times"])
 
-    passed = rows.select("doc_id", "text_hash", "text", "held_out").mapInArrow(
-        run, f"doc_id {kind}, text_hash long, held_out boolean, words long, hot long, hot_score double, score double, "
+    passed = map_arrow(
+        rows.select("doc_id", "text_hash", "text", "held_out"), run, f"doc_id {kind}, text_hash long, held_out boolean, words long, hot long, hot_score double, score double, "
              "rare array<long>, times array<int>")
     # one pass over the texts writes the sums and the rare words of each text
     passed = materialize(passed, "scored")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from churnspark.llm import gbdt
-from churnspark.llm.common import fold, packed
+from churnspark.llm.common import fold, map_arrow, packed
 from churnspark.llm.tokens import SPACE_CLASS, chunks, grams, span_hashes, spans
 from churnspark.session import materialize
 
@@ -101,7 +101,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, max_
                                               pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
     # repeated rows of an id could exceed the bound, so it holds for the rows too
-    rows = chosen.mapInArrow(run, "doc_id string, y long, x array<double>").orderBy("doc_id", "x").limit(max_train).toArrow()
+    rows = map_arrow(chosen, run, "doc_id string, y long, x array<double>").orderBy("doc_id", "x").limit(max_train).toArrow()
     x = np.array(rows.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return gbdt.fit(x, np.array(rows.column("y").to_pylist(), np.float64), **settings)
 
@@ -117,7 +117,7 @@ def with_score(docs: DataFrame, model: gbdt.Trees, text_col: str = "text") -> Da
             text = row.field(row.type.get_field_index(text_col))
             yield pa.RecordBatch.from_arrays([row, pa.array(model.probability(statistics(text)))], names=["row", "score"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def predict(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, max_train: int = MAX_TRAIN) -> DataFrame:

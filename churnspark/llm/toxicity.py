@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from churnspark.llm.common import packed
+from churnspark.llm.common import map_arrow, packed
 from churnspark.llm.tokens import LOWER, U64, chunks, span_hashes, spans
 from churnspark.session import materialize
 
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, chain: dict[str, Column] | None =
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sets, pa.list_(pa.int64()))],
                                                  names=["doc_id", "words"])
 
-    seen = materialize(chosen.mapInArrow(run, f"doc_id {kind}, words array<long>").select("doc_id", F.explode("words").alias("word"))
+    seen = materialize(map_arrow(chosen, run, f"doc_id {kind}, words array<long>").select("doc_id", F.explode("words").alias("word"))
                        .distinct().join(F.broadcast(marks), "doc_id"), "toxic_words")
     rows = marks.orderBy("doc_id").toArrow()
     n = rows.num_rows
@@ -205,7 +205,7 @@ def with_probabilities(docs: DataFrame, model: Chain, text_col: str = "text") ->
             p = list(model.probabilities(text))
             yield pa.RecordBatch.from_arrays([row, pa.array(p, pa.list_(pa.float64()))], names=["row", "p"])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def predict(docs: DataFrame, labels: DataFrame, threshold: float = 0.4, usable: Column | None = None) -> DataFrame:
