@@ -6,7 +6,7 @@ shingle sets; connected components by large-star and small-star.
 
 Documents with equal shingle sets are one class (128-bit set hash), so exact
 copies never meet as pairs.  Within a band bucket no pairs are enumerated:
-every round picks hubs (1, then 4, 16, ... per bucket), compares the members
+every round picks hubs (1, then 8, 64, ... per bucket), compares the members
 of *other* components with them, merges what is confirmed, and retires the
 hubs.  A bucket is done once the members that were never hubs lie in one
 component: every pair in it has then been compared or is already connected,
@@ -44,7 +44,7 @@ from churnspark.session import materialize
 BANDS, ROWS = 24, 6
 #: Bits of the signature check, and the most that may differ.
 SKETCH_BITS, MAX_DIFFERENT = 128, 30
-HUB_GROWTH = 4
+HUB_GROWTH = 8
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _A = (_rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
