@@ -6,7 +6,7 @@ shingle sets; connected components by large-star and small-star.
 
 Documents with equal shingle sets are one class (128-bit set hash), so exact
 copies never meet as pairs.  Within a band bucket no pairs are enumerated:
-every round picks hubs (1, then 8, 64, ... per bucket), compares the members
+every round picks hubs (1, then 16, 256, ... per bucket), compares the members
 of *other* components with them, merges what is confirmed, and retires the
 hubs.  A bucket is done once the members that were never hubs lie in one
 component: every pair in it has then been compared or is already connected,
@@ -44,7 +44,7 @@ from churnspark.session import materialize
 BANDS, ROWS = 24, 6
 #: Bits of the signature check, and the most that may differ.
 SKETCH_BITS, MAX_DIFFERENT = 128, 30
-HUB_GROWTH = 8
+HUB_GROWTH = 16
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _A = (_rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -129,8 +129,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def private_shingles(texts: DataFrame) -> DataFrame:
-    """(rep, private): shingles that no other of these texts has.  An id with
-    several texts counts 0, which only weakens the bound made from it."""
+    """(rep, private): shingles that no other of these texts has."""
     kind = texts.schema["rep"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,23 +141,22 @@ def private_shingles(texts: DataFrame) -> DataFrame:
 
     each = map_arrow(texts, run, f"rep {kind}, shingles array<long>").select("rep", F.explode("shingles").alias("s"))
     own = each.groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).where("n = 1")
-    several = texts.groupBy("rep").count().where("count > 1").select("rep")
-    return own.groupBy("rep").agg(F.count("*").alias("private")).join(several, "rep", "left_anti")
+    return own.groupBy("rep").agg(F.count("*").alias("private"))
 
 
-def _unresolved(members: DataFrame, percent: int) -> DataFrame:
-    """Members that may have a link to another component in their bucket.
+def _able(percent: int):
+    """Whether a member may have a link to any text of its bucket: of its n
+    shingles at most ``shared`` are in another text, so a partner of m shingles
+    needs (100 + percent) shared >= percent (n + m); ``m`` is the bucket's
+    smallest size."""
+    return (100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("m"))
 
-    Of the n shingles of a member at most ``shared`` are in any other text, so
-    a partner of m shingles needs (100 + percent) shared >= percent (n + m);
-    a member for which even the smallest m of the bucket is too much is done,
-    and so is a bucket with one component.
-    """
-    able = members.join(materialize(members.groupBy("bucket").agg(F.min("n").alias("m")), "bucket_least"), "bucket").where(
-        (100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("m"))).drop("m")
-    open_ = materialize(able.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                        .where("lo <> hi").select("bucket"), "open_buckets")
-    return able.join(open_, "bucket", "left_semi")
+
+def _unresolved(members: DataFrame) -> DataFrame:
+    """Members of buckets with more than one component, with ``m``."""
+    open_ = materialize(members.groupBy("bucket").agg(F.min("n").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                        .where("lo <> hi").select("bucket", "m"), "open_buckets")
+    return members.join(open_, "bucket")
 
 
 def _hubs(members: DataFrame, per_bucket: int) -> DataFrame:
@@ -184,40 +182,35 @@ def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
 
 def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the classes that are connected to a smaller one."""
-    columns = ["rep", "comp", "n", "shared", "s1", "s2", "bucket"]
     fresh = classes.select("rep", F.col("rep").alias("comp"), "n", F.col("n").alias("shared"), "s1", "s2",
                            F.explode("bands").alias("bucket"))
-    members = materialize(_unresolved(fresh, percent).select(*columns), "members")
+    members = materialize(_unresolved(fresh), "members")
     wanted = members.select("rep").distinct()
     # only texts that have a candidate: Bloom filter of fixed size, then the exact join
     blocks, n_blocks = bloom_filter(wanted, "rep")
     text = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).where("rep IS NOT NULL")
     possible = with_possible(text, F.col("rep"), blocks, n_blocks).where("possible").select("rep", "text")
     texts = materialize(possible.join(wanted, "rep", "left_semi"), "texts")
-    spark = docs.sparkSession
-    component = spark.createDataFrame([], classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).schema)
+    # ids with several texts: their private shingles count 0, which only weakens the bound
+    several = materialize(classes.groupBy("rep").count().where("count > 1").select("rep"), "several")
+    component = docs.sparkSession.createDataFrame(
+        [], classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).schema)
     per_bucket = 1
     while members.take(1):
         hubs = materialize(_hubs(members, per_bucket), "hubs")
         links = materialize(confirm(hub_pairs(members, hubs, percent), texts, percent), "links")
-        # components of components: links between the current component ids
-        name = lambda side: component.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-        between = links.join(name("u"), "u", "left").join(name("v"), "v", "left").select(
-            F.coalesce("c_u", "u").alias("u"), F.coalesce("c_v", "v").alias("v"))
-        merged = components(between)
-        moved = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
-        component = materialize(component.join(moved, "component", "left")
-                                .select("node", F.coalesce("to", "component").alias("component"))
-                                .unionByName(merged.join(component, "node", "left_anti")), "component")
+        if links.take(1):
+            stars = component.select(F.col("node").alias("u"), F.col("component").alias("v"))
+            component = components(stars.unionByName(links))
         retired = hubs.select("bucket", F.col("h_rep").alias("rep"))
-        left = (members.join(retired, ["bucket", "rep"], "left_anti").drop("comp", "shared")
+        left = (members.join(retired, ["bucket", "rep"], "left_anti").select("bucket", "rep", "n", "s1", "s2")
                 .join(component.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
-                .withColumn("comp", F.coalesce("comp", "rep")).withColumn("shared", F.col("n")))
-        left = materialize(_unresolved(left.select(*columns), percent).select(*columns), "left")
+                .withColumn("comp", F.coalesce("comp", "rep")))
+        left = materialize(_unresolved(left), "left")
         # what is shared among the texts that are left: fewer every round, so the bound gets tighter
-        own = private_shingles(texts.join(left.select("rep").distinct(), "rep", "left_semi"))
-        left = left.join(own, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("private", F.lit(0)))
-        members = materialize(_unresolved(left.select(*columns), percent).select(*columns), "members")
+        own = private_shingles(texts.join(left.select("rep").distinct(), "rep", "left_semi")).join(several, "rep", "left_anti")
+        members = materialize(left.join(own, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("private", F.lit(0)))
+                              .drop("private").where(_able(percent)), "members")
         per_bucket *= HUB_GROWTH
     return component
 
