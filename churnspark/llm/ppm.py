@@ -213,7 +213,8 @@ def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX
     passed = materialize(passed, "scored")
     keys = ["doc_id", "text_hash"]
     # equal rows are one key here and are dealt out again at the end
-    per_key = passed.groupBy(*keys, "held_out", "words", "hot", "hot_score", "score").agg(F.count("*").alias("copies"))
+    own = ("held_out", "words", "hot", "hot_score", "score")
+    per_key = passed.groupBy(*keys).agg(F.count("*").alias("copies"), *[F.max(c).alias(c) for c in own])
     rare = (passed.select(*keys, F.explode(F.arrays_zip("rare", "times")).alias("e"))
             .select(*keys, F.col("e.rare").alias("word"), F.col("e.times").alias("times")))
     met = (rare.join(words, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
