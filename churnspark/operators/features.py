@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnspark.functions.scalar import nan_to_null
 from churnspark.operators import stats
 
 UNKNOWN = "Unknown"      # fixed value: categorical fill when the column is all-null
@@ -63,7 +64,7 @@ def fill_apply(df: DataFrame, fills: DataFrame | dict) -> DataFrame:
         if isinstance(v, str):
             return F.coalesce(F.col(c).cast("string"), F.lit(v))
         # a numeric column with gaps is a float column (as in pandas)
-        return F.coalesce(F.col(c).cast("double"), F.lit(float(v)))
+        return F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(float(v)))
     return df.select(*[filled(c).alias(c) if c in present else F.col(c) for c in df.columns])
 
 

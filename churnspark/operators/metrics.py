@@ -93,10 +93,10 @@ def score_label_counts(df: DataFrame, label: str, score: str, group_cols: Sequen
 
 def _auc_aggregate(df: DataFrame, label: str, score: str, threshold: float | None,
                    n_buckets: int | None, group_cols: Sequence[str] = ()) -> DataFrame:
-    from churnspark.session import materialize_unless_cached
+    from churnspark.session import materialize
     group_cols = list(group_cols)
     # one pass over the input: the per-distinct-score table is written once
-    counts = materialize_unless_cached(df, score_label_counts(df, label, score, group_cols), "score_counts")
+    counts = materialize(score_label_counts(df, label, score, group_cols), "score_counts")
     nb = n_buckets or px.adaptive_buckets(df.sparkSession, counts.count())
     if nb <= 1:
         b = counts.withColumn("__bk", F.lit(0))

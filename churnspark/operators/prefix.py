@@ -150,8 +150,10 @@ def prefix_sums(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
         *([F.sum(f"__bt_{c}").over(wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
            .alias(f"total_{c}") for c in sum_cols] if with_totals else []),
     )
-    # offsets: (groups x buckets) rows -> bounded, broadcast
-    joined = df.join(F.broadcast(offs), on=keys, how="inner")
+    # null-safe: a NULL group or bucket keeps its rows
+    offs = offs.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in offs.columns if c not in keys])
+    same = [df[k].eqNullSafe(F.col(f"__k_{k}")) for k in keys]
+    joined = df.join(offs, on=same, how="inner").drop(*[f"__k_{k}" for k in keys])
     wl = (Window.partitionBy(*keys).orderBy(*order_cols)
           .rowsBetween(Window.unboundedPreceding, -1))
     out = joined

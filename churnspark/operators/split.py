@@ -26,7 +26,7 @@ HASH_PREFIX_HEX = None  # derived from the configured parallelism (>= 3 hex digi
 
 
 def split_hash(key: str, seed: int = SEED):
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED,
@@ -38,12 +38,12 @@ def stratified_split(df: DataFrame, key: str, label: str, seed: int = SEED,
     with ``materialize_input`` the input is checkpointed once so a derived
     input (joins, aggregates) is not recomputed for the second pass.  Pass
     ``False`` when ``df`` is already a plain table scan.
+
+    No row is lost: rows with a NULL label are a class of their own, a NULL
+    key hashes as the empty text.
     """
-    if hex_digits is None:
-        # 4096 buckets per class, 65536 once the cluster's parallelism asks
-        # for more than 4096 buckets (keeps each bucket's sort small at scale)
-        hex_digits = 3 if px.default_buckets(df.sparkSession) <= 4096 else 4
-    if materialize_input and not df.is_cached:
+    hex_digits = hex_digits or 3  # 4096 buckets per class at every size
+    if materialize_input:
         from churnspark.session import materialize
         df = materialize(df, "split_input")
     h = df.withColumn("__h", split_hash(key, seed)).withColumn("__one", F.lit(1))

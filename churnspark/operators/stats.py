@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnspark.functions.scalar import nan_to_null
 from churnspark.operators import prefix as px
 
 
@@ -54,13 +55,13 @@ def median(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) ->
     running counts come from bucketed prefix sums, and the middle ranks are
     picked with a grouped aggregate.
     """
-    from churnspark.session import materialize_unless_cached
+    from churnspark.session import materialize
     cols = list(cols)
     spark = df.sparkSession
     nb = n_buckets
     clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
                         for c in cols])
-    vc = materialize_unless_cached(df, value_counts(clean, cols, "double"), "value_counts")
+    vc = materialize(value_counts(clean, cols, "double"), "value_counts")
     if n_buckets is None:
         nb = px.adaptive_buckets(spark, vc.count())   # parquet footer / cache count: cheap
     if nb <= 1:
@@ -92,17 +93,19 @@ def value_proportions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def distinct_sorted(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, value, n)`` distinct non-null values with their counts."""
-    return value_counts(df, cols)
+    """``(feature, value, n)`` distinct non-null values with their counts, in
+    the order of feature and value."""
+    return value_counts(df, cols).orderBy("feature", "value")
 
 
 def mean_std(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, mean, std, n)``: one pass; ``std`` is the population std."""
+    """``(feature, mean, std, n)``: one pass; ``std`` is the population std.
+    NaN counts as missing, as in the other statistics."""
     if not cols:
         return df.sparkSession.createDataFrame([], "feature string, mean double, std double, n long")
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = nan_to_null(F.col(c).cast("double"))
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"), F.count(x).alias(f"n{i}")]
     wide = df.agg(*aggs)
     parts = ", ".join(f"'{c}', m{i}, s{i}, n{i}" for i, c in enumerate(cols))

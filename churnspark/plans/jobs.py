@@ -21,7 +21,7 @@ from churnspark.operators.split import stratified_split
 from churnspark.plans import fixtures as fx
 from churnspark.profile import CHURN_BASE, Profile
 from churnspark.queries import CAT, NUM, _prepared, _train, q, r
-from churnspark.session import scratch_path
+from churnspark.session import read_or_empty, scratch_path
 from churnspark.sources import csv as CSV, logs as LG
 from churnspark.streaming import streams as SS
 
@@ -111,11 +111,9 @@ def job_train_evaluate(spark: SparkSession, prepared_path: str, profile: Profile
     splits = spark.read.parquet(prepared_path)
     train, test = splits.where("split = 'train'"), splits.where("split = 'test'")
     feats, label = profile.features, profile.target
-    try:
-        versions = spark.read.parquet(registry_path)
-    except Exception:
-        versions = spark.createDataFrame([], "name string, version int, stage string, roc_auc double, "
-                                             "f1 double, precision double, recall double")
+    # no registry yet: empty; an unreadable one raises and stays as it is
+    versions = read_or_empty(lambda: spark.read.parquet(registry_path), lambda: spark.createDataFrame(
+        [], "name string, version int, stage string, roc_auc double, f1 double, precision double, recall double"))
     next_v = (versions.agg(F.max("version")).first()[0] or 0) + 1
     new_rows = None
     for i, alg in enumerate(algorithms):

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -49,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="churnspark-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -71,11 +74,15 @@ def materialize(df, name: str = "materialized"):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_unless_cached(df, derived, name: str = "materialized"):
-    """``materialize(derived)`` -- unless ``df`` (the operator's input) is
-    persisted: then ``derived`` is recomputed from the cache, which is as
-    cheap as reading a written copy and equally deterministic."""
-    return derived if df.is_cached else materialize(derived, name)
+def read_or_empty(read, empty):
+    """``read()``; ``empty()`` only if its path doesn't exist.  Any other
+    error -- an unreadable or damaged table -- is raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -8,11 +8,12 @@ append-only file commits (no read-modify-write of a day file).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnspark.session import read_or_empty
+
 CORRUPT = "_corrupt_record"
 
 
@@ -43,13 +44,11 @@ def scan_log(spark: SparkSession, root: str, inputs: T.StructType | None = None,
     only with ``with_corrupt``), timestamp parsed.  Only files of the
     partition layout are listed (no stray files such as a baseline)."""
     schema = log_record_schema(inputs).add(CORRUPT, T.StringType())
-    try:
-        df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("basePath", root).json(f"{root}/model=*/date=*/*.json"))
-    except AnalysisException:
-        # no log file yet: an empty, fully typed table
-        df = spark.createDataFrame([], schema.add("model", T.StringType()).add("date", T.DateType()))
+    # no log file yet: an empty, fully typed table
+    df = read_or_empty(
+        lambda: (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+                 .option("basePath", root).json(f"{root}/model=*/date=*/*.json")),
+        lambda: spark.createDataFrame([], schema.add("model", T.StringType()).add("date", T.DateType())))
     df = df.withColumn("timestamp", F.to_timestamp("timestamp"))
     if not with_corrupt:
         # a usable record parses and carries a timestamp; everything else is

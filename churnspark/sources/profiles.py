@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnspark.session import read_or_empty
+
 PROFILE_SCHEMA = T.StructType([
     T.StructField("numeric", T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))),
     T.StructField("categorical", T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))),
@@ -31,10 +33,8 @@ def write_profile(num: DataFrame, cat: DataFrame, path: str) -> None:
 
 def read_profile(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(num_profile, cat_profile); empty tables when the document is absent."""
-    try:
-        doc = spark.read.schema(PROFILE_SCHEMA).json(path)
-    except Exception:  # absent file -> empty profile
-        doc = spark.createDataFrame([], PROFILE_SCHEMA)
+    doc = read_or_empty(lambda: spark.read.schema(PROFILE_SCHEMA).json(path),
+                        lambda: spark.createDataFrame([], PROFILE_SCHEMA))
     num = (doc.select(F.explode("numeric").alias("feature", "s"))
            .select("feature", F.col("s")["mean"].alias("mean"), F.col("s")["std"].alias("std")))
     cat = (doc.select(F.explode("categorical").alias("feature", "m"))
