@@ -16,15 +16,17 @@ from churnspark.session import materialize
 
 def _stars(edges: DataFrame) -> bool:
     """Every u has one v, and no v is a u: each component is a star."""
-    n, distinct = edges.agg(F.count("*"), F.count_distinct("u")).first()
-    return n == distinct and not edges.join(edges.select(F.col("u").alias("v")), "v", "left_semi").take(1)
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out")),
+                                          F.struct(F.col("v").alias("node"), F.lit(0).alias("out")))).alias("e"))
+    nodes = ends.groupBy("e.node").agg(F.sum("e.out").alias("out"), F.min("e.out").alias("least"))
+    return nodes.where("out > 1 OR (out = 1 AND least = 0)").count() == 0
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v").distinct())
+            .where("u <> v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

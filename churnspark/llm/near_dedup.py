@@ -129,18 +129,22 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def private_shingles(texts: DataFrame) -> DataFrame:
-    """(rep, private): shingles that no other of these texts has."""
+    """(rep, private): shingles that no other of these texts has.  ``texts`` is
+    (rep, text, several); ids with several texts get no row, which only weakens
+    the bound."""
     kind = texts.schema["rep"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, at in chunks(batch.column(1)):
                 sets = [s.view(np.int64) for s in shingle_sets(*word_hashes(data, at))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sets, pa.list_(pa.int64()))],
-                                                 names=["rep", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(sets, pa.list_(pa.int64())),
+                                                  batch.column(2).slice(i, j - i)], names=["rep", "shingles", "several"])
 
-    each = map_arrow(texts, run, f"rep {kind}, shingles array<long>").select("rep", F.explode("shingles").alias("s"))
-    own = each.groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep")).where("n = 1")
+    each = map_arrow(texts, run, f"rep {kind}, shingles array<long>, several boolean").select(
+        "rep", "several", F.explode("shingles").alias("s"))
+    own = (each.groupBy("s").agg(F.count("*").alias("n"), F.min("rep").alias("rep"), F.max("several").alias("several"))
+           .where("n = 1 AND NOT several"))
     return own.groupBy("rep").agg(F.count("*").alias("private"))
 
 
@@ -190,9 +194,9 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
     blocks, n_blocks = bloom_filter(wanted, "rep")
     text = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).where("rep IS NOT NULL")
     possible = with_possible(text, F.col("rep"), blocks, n_blocks).where("possible").select("rep", "text")
-    texts = materialize(possible.join(wanted, "rep", "left_semi"), "texts")
-    # ids with several texts: their private shingles count 0, which only weakens the bound
     several = materialize(classes.groupBy("rep").count().where("count > 1").select("rep"), "several")
+    texts = materialize(possible.join(wanted, "rep", "left_semi").join(several.withColumn("several", F.lit(True)), "rep", "left")
+                        .withColumn("several", F.coalesce("several", F.lit(False))), "texts")
     component = docs.sparkSession.createDataFrame(
         [], classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).schema)
     per_bucket = 1
@@ -206,9 +210,9 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
         left = (members.join(retired, ["bucket", "rep"], "left_anti").select("bucket", "rep", "n", "s1", "s2")
                 .join(component.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
                 .withColumn("comp", F.coalesce("comp", "rep")))
-        left = materialize(_unresolved(left), "left")
+        left = materialize(_unresolved(materialize(left, "left")), "unresolved")
         # what is shared among the texts that are left: fewer every round, so the bound gets tighter
-        own = private_shingles(texts.join(left.select("rep").distinct(), "rep", "left_semi")).join(several, "rep", "left_anti")
+        own = private_shingles(texts.join(left.select("rep").distinct(), "rep", "left_semi"))
         members = materialize(left.join(own, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("private", F.lit(0)))
                               .drop("private").where(_able(percent)), "members")
         per_bucket *= HUB_GROWTH
