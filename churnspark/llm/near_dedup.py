@@ -175,19 +175,26 @@ def _hubs(members: DataFrame, per_bucket: int) -> DataFrame:
 
 def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     """(a, b): members and hubs of other components whose sizes, shared
-    shingles and signatures allow a link."""
+    shingles and signatures allow a link.  A pair that shares several buckets
+    meets in the smallest of those where ``b`` is a hub.  If the member is no
+    longer in that bucket, the pair is settled: the member was a hub there and
+    has been compared with ``b``, or can't be linked with any text of it."""
     near = (F.bit_count(F.col("s1").bitwiseXOR(F.col("h_s1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("h_s2")))
             <= MAX_DIFFERENT)
     sizes = 100 * F.least("n", "h_n") >= percent * F.greatest("n", "h_n")
     shared = (100 + percent) * F.least("shared", "h_shared") >= percent * (F.col("n") + F.col("h_n"))
-    return (members.join(hubs, "bucket").where((F.col("comp") != F.col("h_comp")) & sizes & shared & near)
-            .select(F.col("rep").alias("a"), F.col("h_rep").alias("b")).distinct())
+    first = F.array_min(F.array_intersect("bands", "h_in")) == F.col("bucket")
+    # at most one bucket a band, so the sets are small
+    each = (hubs.groupBy("h_rep", "h_comp", "h_n", "h_shared", "h_s1", "h_s2").agg(F.collect_set("bucket").alias("h_in"))
+            .withColumn("bucket", F.explode("h_in")))
+    return (members.join(each, "bucket").where((F.col("comp") != F.col("h_comp")) & sizes & shared & near & first)
+            .select(F.col("rep").alias("a"), F.col("h_rep").alias("b")))
 
 
 def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the classes that are connected to a smaller one."""
     fresh = classes.select("rep", F.col("rep").alias("comp"), "n", F.col("n").alias("shared"), "s1", "s2",
-                           F.explode("bands").alias("bucket"))
+                           "bands", F.explode("bands").alias("bucket"))
     members = materialize(_unresolved(fresh), "members")
     wanted = members.select("rep").distinct()
     # only texts that have a candidate: Bloom filter of fixed size, then the exact join
@@ -206,8 +213,8 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
         if links.take(1):
             stars = component.select(F.col("node").alias("u"), F.col("component").alias("v"))
             component = components(stars.unionByName(links))
-        retired = hubs.select("bucket", F.col("h_rep").alias("rep"))
-        left = (members.join(retired, ["bucket", "rep"], "left_anti").select("bucket", "rep", "n", "s1", "s2")
+        retired = hubs.select("bucket", *[F.col(f"h_{c}").alias(c) for c in ("rep", "n", "s1", "s2")])
+        left = (members.join(retired, retired.columns, "left_anti").select("bucket", "rep", "n", "s1", "s2", "bands")
                 .join(component.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
                 .withColumn("comp", F.coalesce("comp", "rep")))
         left = materialize(_unresolved(materialize(left, "left")), "unresolved")
