@@ -157,10 +157,12 @@ def _able(percent: int):
 
 
 def _unresolved(members: DataFrame) -> DataFrame:
-    """Members of buckets with more than one component, with ``m``."""
+    """Members of buckets with more than one component, with ``m``.  A Bloom
+    filter of fixed size keeps the others out of the exact join's shuffle."""
     open_ = materialize(members.groupBy("bucket").agg(F.min("n").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                         .where("lo <> hi").select("bucket", "m"), "open_buckets")
-    return members.join(open_, "bucket")
+    blocks, n_blocks = bloom_filter(open_, "bucket")
+    return with_possible(members, F.col("bucket"), blocks, n_blocks).where("possible").drop("possible").join(open_, "bucket")
 
 
 def _hubs(members: DataFrame, per_bucket: int) -> DataFrame:
@@ -194,16 +196,18 @@ def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
 def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """(node, component) of the classes that are connected to a smaller one."""
     fresh = classes.select("rep", F.col("rep").alias("comp"), "n", F.col("n").alias("shared"), "s1", "s2",
-                           "bands", F.explode("bands").alias("bucket"))
-    members = materialize(_unresolved(fresh), "members")
-    wanted = members.select("rep").distinct()
-    # only texts that have a candidate: Bloom filter of fixed size, then the exact join
-    blocks, n_blocks = bloom_filter(wanted, "rep")
+                           F.explode("bands").alias("bucket"))
+    found = materialize(_unresolved(fresh), "found")
+    # only texts that may have a candidate (Bloom filters of fixed size: a text too many
+    # meets no pair, and one taken for several only gets no bound)
+    blocks, n_blocks = bloom_filter(materialize(found.select("rep").distinct(), "wanted"), "rep")
+    # the 24 bands join the few rows that are left instead of travelling with every bucket
+    own_bands = with_possible(classes.select("rep", "n", "s1", "s2", "bands"), F.col("rep"), blocks, n_blocks)
+    members = materialize(found.join(own_bands.where("possible").drop("possible").distinct(), ["rep", "n", "s1", "s2"]), "members")
     text = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).where("rep IS NOT NULL")
     possible = with_possible(text, F.col("rep"), blocks, n_blocks).where("possible").select("rep", "text")
     several = materialize(classes.groupBy("rep").count().where("count > 1").select("rep"), "several")
-    texts = materialize(possible.join(wanted, "rep", "left_semi").join(several.withColumn("several", F.lit(True)), "rep", "left")
-                        .withColumn("several", F.coalesce("several", F.lit(False))), "texts")
+    texts = materialize(with_possible(possible, F.col("rep"), *bloom_filter(several, "rep"), name="several"), "texts")
     component = docs.sparkSession.createDataFrame(
         [], classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).schema)
     per_bucket = 1
