@@ -1,8 +1,9 @@
 """Incremental versions of the log analytics, scoring and drift.
 
-* :func:`daily_rate_stream` -- watermarked 1-day windows per model, update
-  mode, upserted by ``foreachBatch`` into a table keyed by batch id; the
-  latest version of each (day, model) equals the batch
+* :func:`daily_rate_stream` -- each micro-batch writes its own (day, model)
+  sums and counts under its batch id (a replayed batch replaces itself); the
+  reader adds them up.  There is no watermark and no state, so rows that
+  arrive late count like any other and the result equals the batch
   :func:`churnspark.operators.logs.daily_rate`.
 * :func:`score_stream` -- score arriving request rows, append to the
   partitioned JSON log (file sink, exactly-once through the checkpoint).
@@ -23,8 +24,6 @@ from pyspark.sql import functions as F
 
 from churnspark.operators import drift as D
 
-WATERMARK = "1 day"
-
 
 def _start(writer, trigger: dict | None, checkpoint: str):
     w = writer.option("checkpointLocation", checkpoint)
@@ -42,29 +41,20 @@ def _idempotent_batch_writer(out: str, transform: Callable[[DataFrame, int], Dat
     return write
 
 
-def daily_rate_stream(log_stream: DataFrame, out: str, checkpoint: str,
-                      trigger: dict | None = None, watermark: str = WATERMARK):
-    """Run the incremental daily rate; results land under ``out``."""
-    agg = (log_stream.withWatermark("timestamp", watermark)
-           .groupBy(F.window("timestamp", "1 day").alias("w"), "model")
-           .agg(F.sum("prediction").alias("s"), F.count(F.lit(1)).alias("n")))
-    flat = agg.select(F.to_date(F.col("w.start")).alias("date"), "model", "s", "n")
-    writer = flat.writeStream.outputMode("update").foreachBatch(_idempotent_batch_writer(out))
+def daily_rate_stream(log_stream: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+    """Run the incremental daily rate; the sums of each batch land under ``out``."""
+    def sums(batch: DataFrame, batch_id: int) -> DataFrame:
+        return (batch.groupBy(F.to_date("timestamp").alias("date"), "model")
+                .agg(F.sum("prediction").alias("s"), F.count("prediction").alias("known"), F.count(F.lit(1)).alias("n")))
+    writer = log_stream.writeStream.foreachBatch(_idempotent_batch_writer(out, sums))
     return _start(writer, trigger, checkpoint)
 
 
-def read_latest(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """Upsert view: the row of the highest batch id per key (aggregate,
-    map-side combined -- no window over a hot key)."""
-    df = spark.read.parquet(out)
-    other = [c for c in df.columns if c not in keys and c != "batch_id"]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*other), F.col("batch_id")).alias("__r"))
-            .select(*keys, "__r.*"))
-
-
 def daily_rate_result(spark: SparkSession, out: str) -> DataFrame:
-    latest = read_latest(spark, out, ["date", "model"])
-    return latest.select("date", "model", (F.col("s") / F.col("n")).alias("churn_rate"), "n")
+    """The rate per day and model over all batches (a map-side combined sum)."""
+    total = spark.read.parquet(out).groupBy("date", "model").agg(*[F.sum(c).alias(c) for c in ("s", "known", "n")])
+    rate = F.when(F.col("known") > 0, F.col("s") / F.col("known"))
+    return total.select("date", "model", rate.alias("churn_rate"), "n")
 
 
 def score_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame], log_root: str,

@@ -70,3 +70,14 @@ def test_stream_daily_rate_equals_batch(spark, tmp_dir):
     # re-running on the same checkpoint processes nothing new and keeps the result
     SS.daily_rate_stream(_stream_log(src), tmp_dir + "/out", tmp_dir + "/ck")
     assert SS.daily_rate_result(spark, tmp_dir + "/out").count() == len(b)
+
+
+def test_stream_daily_rate_counts_late_rows(spark, tmp_dir):
+    schema = "timestamp timestamp, model string, prediction int"
+    for days in (["2024-01-10"] * 5, ["2024-01-20"] * 5, ["2024-01-10"] * 4 + ["2024-01-01"] * 3):
+        rows = spark.createDataFrame([(d, i % 2) for i, d in enumerate(days)], "d string, p int")
+        rows.selectExpr("to_timestamp(d) timestamp", "'m' model", "p prediction").coalesce(1).write.mode("append").parquet(tmp_dir + "/in")
+    log = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(tmp_dir + "/in")
+    SS.daily_rate_stream(log, tmp_dir + "/out", tmp_dir + "/ck")
+    got = {(str(r["date"]), r["n"], round(r["churn_rate"], 9)) for r in SS.daily_rate_result(spark, tmp_dir + "/out").collect()}
+    assert got == {("2024-01-10", 9, round(4 / 9, 9)), ("2024-01-20", 5, 0.4), ("2024-01-01", 3, round(1 / 3, 9))}
