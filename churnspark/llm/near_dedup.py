@@ -16,10 +16,12 @@ shingles that a text shares with no other one left are counted: they bound its
 similarity with any of them from above, which settles texts that lie just
 outside the threshold of a large group without comparing them pair by pair.
 
-Recall: with similarity 0.85 a pair misses all 24 bands of 6 minima with
-probability (1 - 0.85^6)^24 = 1.2e-5.  The signature check only leaves out
-pairs whose 128 signature bits differ in more than 30 (at 0.85, 9.6 are
-expected with deviation 3).
+Recall: a pair at the threshold misses all bands with probability
+(1 - 0.85^6)^24 = 1.2e-5 at 0.85 (24 bands of 6 minima) and (1 - 0.8^5)^32 =
+3.0e-6 at 0.8 (32 bands of 5).  The signature check only leaves out pairs whose
+128 signature bits differ in more than 30 (at 0.85, 9.6 are expected with
+deviation 3.0: 4.5e-9) or 34 (at 0.8, 12.8 with deviation 3.4: 2.5e-8).
+Thresholds below 0.8 are refused, as no bands are chosen for them.
 
 Defined cases: text null or without words has an empty set and is its own
 component; a null id has a null component and is kept; rows with one id are
@@ -41,23 +43,34 @@ from churnspark.llm.components import components
 from churnspark.llm.tokens import U64, chunks, mix, shingle_sets, word_hashes
 from churnspark.session import materialize
 
-BANDS, ROWS = 24, 6
-#: Bits of the signature check, and the most that may differ.
-SKETCH_BITS, MAX_DIFFERENT = 128, 30
+#: Bits of the signature check.
+SKETCH_BITS = 128
+#: Threshold in percent from which a choice holds: bands, minima of each, and
+#: the most signature bits that may differ.
+CHOICES = {85: (24, 6, 30), 80: (32, 5, 34)}
+MINIMA = max(bands * rows for bands, rows, _ in CHOICES.values())
 HUB_GROWTH = 16
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
-_A = (_rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
-_B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_A = (_rng.integers(0, 1 << 31, MINIMA, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+_B = _rng.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
 _SALT = _rng.integers(1, 1 << 63, 4, dtype=np.uint64)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """The universal hash minima of a set (a x + b modulo 2^32)."""
-    x = (shingles >> U64(32)).astype(np.uint32)
-    out = np.full(len(_A), 0xFFFFFFFF, np.uint32)
+def choice(percent: int) -> tuple[int, int, int]:
+    """Bands, minima of each and differing signature bits for a threshold."""
+    fit = [k for k in CHOICES if k <= percent]
+    if not fit:
+        raise ValueError(f"no bands are chosen for a similarity of {percent} percent")
+    return CHOICES[max(fit)]
+
+
+def minima(shingles: np.ndarray, n: int = MINIMA) -> np.ndarray:
+    """The first ``n`` universal hash minima of a set (a x + b modulo 2^32)."""
+    x, a, b = (shingles >> U64(32)).astype(np.uint32), _A[:n, None], _B[:n, None]
+    out = np.full(n, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(x), 1024):
-        np.minimum(out, (_A[:, None] * x[None, i:i + 1024] + _B[:, None]).min(axis=1), out=out)
+        np.minimum(out, (a * x[None, i:i + 1024] + b).min(axis=1), out=out)
     return out
 
 
@@ -65,11 +78,12 @@ def _signed(x) -> np.ndarray:
     return np.asarray(x, U64).view(np.int64)
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, set hash (f1, f2), band keys, sketch (s1, s2)."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     id_type = src.schema["doc_id"].dataType.simpleString()
-    number = (np.arange(BANDS, dtype=np.uint64) + U64(1)) * _SALT[0]
+    n_bands, n_rows, _ = choice(percent)
+    number = (np.arange(n_bands, dtype=np.uint64) + U64(1)) * _SALT[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,10 +97,10 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     if not len(s):
                         bands.append(None)
                         continue
-                    m = minima(s).astype(U64)
-                    rows = m.reshape(BANDS, ROWS)
+                    m = minima(s, n_bands * n_rows).astype(U64)
+                    rows = m.reshape(n_bands, n_rows)
                     key = number.copy()
-                    for r in range(ROWS):
+                    for r in range(n_rows):
                         key = mix(key ^ rows[:, r])
                     bands.append(_signed(key))
                     bits = (mix(m[:SKETCH_BITS] ^ _SALT[3]) & U64(1)).astype(np.uint8)
@@ -182,7 +196,7 @@ def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     longer in that bucket, the pair is settled: the member was a hub there and
     has been compared with ``b``, or can't be linked with any text of it."""
     near = (F.bit_count(F.col("s1").bitwiseXOR(F.col("h_s1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("h_s2")))
-            <= MAX_DIFFERENT)
+            <= choice(percent)[2])
     sizes = 100 * F.least("n", "h_n") >= percent * F.greatest("n", "h_n")
     shared = (100 + percent) * F.least("shared", "h_shared") >= percent * (F.col("n") + F.col("h_n"))
     first = F.array_min(F.array_intersect("bands", "h_in")) == F.col("bucket")
@@ -201,7 +215,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
     # only texts that may have a candidate (Bloom filters of fixed size: a text too many
     # meets no pair, and one taken for several only gets no bound)
     blocks, n_blocks = bloom_filter(materialize(found.select("rep").distinct(), "wanted"), "rep")
-    # the 24 bands join the few rows that are left instead of travelling with every bucket
+    # the bands join the few rows that are left instead of travelling with every bucket
     own_bands = with_possible(classes.select("rep", "n", "s1", "s2", "bands"), F.col("rep"), blocks, n_blocks)
     members = materialize(found.join(own_bands.where("possible").drop("possible").distinct(), ["rep", "n", "s1", "s2"]), "members")
     text = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).where("rep IS NOT NULL")
@@ -232,7 +246,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
 
 def near_dedup(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept."""
-    signed = materialize(signatures(docs, id_col, text_col), "signatures")
+    signed = materialize(signatures(docs, percent, id_col, text_col), "signatures")
     usable = signed.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = materialize(usable.groupBy("n_shingles", "f1", "f2").agg(
         F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "s1", "s2")])

@@ -43,7 +43,7 @@ def op6_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), percent=85)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,8 @@ from churnspark.llm.common import fold, packed, table, text_of, unpacked
 from churnspark.session import materialize
 
 QUALITY_THRESHOLD = 0.3
+#: Percent of shared five-word shingles from which documents are near copies.
+NEAR_PERCENT = 80
 #: SQL can't express the trees, the minima and the fingerprints.
 ORACLE_SQL = None
 
@@ -45,7 +47,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the smallest id."""
-    judged = materialize(near_dedup.near_dedup(docs).where("doc_id IS NOT NULL"), "near")
+    judged = materialize(near_dedup.near_dedup(docs, NEAR_PERCENT).where("doc_id IS NOT NULL"), "near")
     gone = judged.where("NOT kept").select("doc_id").distinct()
     repeated = judged.groupBy("doc_id").count().where("count > 1").select("doc_id")
     keys = materialize(gone.unionByName(repeated).distinct(), "near_keys")

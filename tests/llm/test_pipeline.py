@@ -42,3 +42,27 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_stage_keeps_one_of_a_pair_at_four_fifths(spark):
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+    rng = random.Random(21)
+    texts, gone = [], set()
+    for k in range(30):  # pairs from 0.79 to 0.85 and some far apart
+        base = prose(rng, 100 + k).split()
+        copy = list(base)
+        copy[40], copy[60] = f"x{k}", f"y{k}"
+        copy = copy[:len(copy) - k % 4]
+        a, b = shingles(" ".join(base)), shingles(" ".join(copy))
+        if 100 * len(a & b) >= 80 * len(a | b):
+            gone.add(len(texts) + 1)
+        texts += [" ".join(base), " ".join(copy)]
+    similarity = [len(a & b) / len(a | b) for a, b in ((shingles(x), shingles(y)) for x, y in zip(texts[::2], texts[1::2]))]
+    assert any(0.8 <= s < 0.8 + 0.05 for s in similarity) and any(s < 0.8 for s in similarity)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    kept = {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()}
+    assert kept == set(range(len(texts))) - gone
