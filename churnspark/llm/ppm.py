@@ -8,12 +8,14 @@ are equally likely.  A text's score is the log10 probability of its
 lower-cased bytes and of its end.  A word unigram with add-one counts is the
 base score.
 
-Scale: n-gram and word counts cover all training texts; both are summed inside
-the tasks first and then by Spark.  The trie keeps the ``MAX_NODES`` most
-frequent 4-grams (6 MB), so what travels to the tasks is bounded.  The
-``HOT_WORDS`` most frequent words travel too; their tokens are scored in the
-tasks, and only rarer words meet their counts in a join, where no key is hot.
-One text is never in more than one row of the pass that scores it.
+Scale: n-gram and word counts cover all training texts and are all kept; both
+are summed inside the tasks first and then by Spark.  The trie is a set of
+tables, one per order, and the probability of every n-gram that some text has
+is computed by joins on them (tables of at most 65,536 rows by their keys are
+broadcast; a key of the others meets at most 256 rows).  The ``MAX_NODES``
+most used n-grams (6 MB) and the ``HOT_WORDS`` most frequent words travel to
+the tasks with their values; rarer ones meet theirs in a join, where no key is
+hot.  One text is never in more than one row of the pass that scores it.
 
 Defined cases: a null text is empty and has the end alone; a null id is in no
 fold, so its row is learned from and scored; repeated rows are scored alike
@@ -28,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm.common import fold, map_arrow, text_of
@@ -36,6 +38,7 @@ from churnspark.llm.tokens import LOWER, U64, chunks, word_hashes
 from churnspark.session import materialize
 
 ORDER = 3
+#: N-grams and words whose values travel to the tasks; the others are joined.
 MAX_NODES = 500_000
 HOT_WORDS = 50_000
 #: Before and after a text; no UTF-8 text has this byte.
@@ -85,6 +88,8 @@ class Level:
 
 @dataclass
 class Trie:
+    """All orders in one process: what ``gram_scores`` computes with tables."""
+
     levels: list[Level]
 
     @classmethod
@@ -146,23 +151,87 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]], dtype) -> tuple[np.ndarr
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
-    """(kind, key, n): kind 0 packed byte n-grams, 1 word hashes, 2 texts.
+    """(kind, key, n, uses): kind 0 packed byte n-grams, 1 word hashes, 2 texts;
+    ``n`` counts training texts, ``uses`` all.  ``texts`` is (text, held_out).
     Counts are summed per batch before they leave the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams, words, n_texts = [], [], batch.num_rows
-            for _, _, data, at in chunks(batch.column(0)):
-                grams.append(np.unique(byte_grams(data, at)[0], return_counts=True))
-                words.append(np.unique(word_hashes(data, at)[0], return_counts=True))
-            g, gn = _merged(grams, np.uint32)
+            learned = ~batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            grams, learned_grams, words = [], [], []
+            for i, j, data, at in chunks(batch.column(0)):
+                g, ga = byte_grams(data, at)
+                u, inv, n = np.unique(g, return_inverse=True, return_counts=True)
+                grams.append((u, n))
+                learned_grams.append((u, np.bincount(inv, np.repeat(learned[i:j], np.diff(ga)), len(u))))
+                h, wa = word_hashes(data, at)
+                words.append(np.unique(h[np.repeat(learned[i:j], np.diff(wa))], return_counts=True))
+            g, uses = _merged(grams, np.uint32)
+            _, gn = _merged(learned_grams, np.uint32)
             w, wn = _merged(words, U64)
             kind = np.concatenate([np.zeros(len(g)), np.ones(len(w)), [2]]).astype(np.int32)
             key = np.concatenate([g.astype(np.int64), w.view(np.int64), [0]])
-            n = np.concatenate([gn, wn, [n_texts]])
-            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(n)], names=["kind", "key", "n"])
+            n_texts = [int(learned.sum())]
+            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(np.concatenate([gn, wn, n_texts])),
+                                              pa.array(np.concatenate([uses, wn, n_texts]))], names=["kind", "key", "n", "uses"])
+
+    return map_arrow(texts, run, "kind int, key long, n long, uses long").groupBy("kind", "key").agg(
+        F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+
+
+def _suffix(col: str, order: int) -> Column:
+    """The n-gram of a lower order at the end of a packed one."""
+    return F.col(col).bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1))
+
+
+def _bounded(table: DataFrame, n_bytes: int) -> DataFrame:
+    """Broadcast a table whose key has at most two bytes (65,536 rows)."""
+    return F.broadcast(table) if n_bytes <= 2 else table
+
+
+def gram_levels(grams: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Per order, the table (g, c) of n-grams and counts and the table (context,
+    total, bytes, lower) of what ``Level`` has per context."""
+    levels = [grams.where("n > 0").select(F.col("key").alias("g"), F.col("n").cast("double").alias("c"))]
+    for order in range(ORDER - 1, -1, -1):
+        level = levels[0].groupBy(_suffix("g", order).alias("g")).agg(F.sum("c").alias("c"))
+        levels.insert(0, materialize(level, f"grams_{order}"))
+    contexts = []
+    for order, level in enumerate(levels):
+        below = F.lit(0.0).alias("below")
+        if order:
+            lower = levels[order - 1].select(F.col("g").alias("end"), F.col("c").alias("below"))
+            level, below = level.join(_bounded(lower, order), _suffix("g", order - 1) == F.col("end")), F.col("below")
+        contexts.append(level.select(F.shiftright("g", 8).alias("context"), "c", below).groupBy("context").agg(
+            F.sum("c").alias("total"), F.count("*").cast("double").alias("bytes"), F.sum("below").alias("lower")))
+    return levels, contexts
+
+
+def gram_scores(grams: DataFrame) -> DataFrame:
+    """(key, uses, p): log10 probability of the last byte of every n-gram of
+    the highest order, like ``Trie.log10p``.  ``grams`` is (key, n, uses)."""
+    levels, contexts = gram_levels(grams)
+    found, zero = F.col("c").isNotNull(), F.lit(0.0)
+    total, distinct = F.col("total") - F.col("gone_n"), F.col("bytes") - F.col("gone_d")
+    step = (F.when(found, F.log10(F.col("c") / (total + distinct)))
+            .when(distinct > 0, F.log10(distinct / (total + distinct))).otherwise(zero))
+
+    def predicted(rows: DataFrame, order: int) -> DataFrame:
+        met = rows.join(_bounded(contexts[order], order), F.shiftright(_suffix("key", order), 8) == F.col("context"), "left")
+        return met.select("key", "uses", (F.col("p") + step).alias("p"), found.alias("found"),
+                          F.coalesce("lower", zero).alias("gone_n"), F.coalesce("bytes", zero).alias("gone_d"))
 
-    return map_arrow(texts, run, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    start = grams.select("key", "uses", F.when(F.col("n") > 0, F.col("n").cast("double")).alias("c"),
+                         zero.alias("p"), zero.alias("gone_n"), zero.alias("gone_d"))
+    rows = materialize(predicted(start, ORDER), "grams_seen")
+    out = rows.where("found").select("key", "uses", "p")
+    for order in range(ORDER - 1, -1, -1):
+        left = rows.where("NOT found").drop("found")
+        rows = materialize(predicted(left.join(_bounded(levels[order], order + 1), _suffix("key", order) == F.col("g"), "left"),
+                                     order), f"grams_escaped_{order}")
+        out = out.unionByName(rows.where("found").select("key", "uses", "p"))
+    new = F.col("p") - F.log10(F.greatest(256 - F.col("gone_d"), F.lit(1.0)))
+    return out.unionByName(rows.where("NOT found").select("key", "uses", new.alias("p")))
 
 
 def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX_NODES,
@@ -170,9 +239,10 @@ def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     rows = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().cast("string").alias("text"),
                        (fold(mod) == held_out).alias("held_out"))
-    counts = materialize(corpus_counts(rows.where("NOT held_out").select("text")), "corpus_counts")
-    nodes = counts.where("kind = 0").orderBy(F.desc("n"), "key").limit(max_nodes).toArrow()
-    trie = Trie.of(nodes.column("key").to_numpy().astype(np.uint32), nodes.column("n").to_numpy().astype(float))
+    counts = materialize(corpus_counts(rows.select("text", "held_out")), "corpus_counts")
+    grams = materialize(gram_scores(counts.where("kind = 0")), "gram_scores")
+    nodes = grams.orderBy(F.desc("uses"), "key").limit(max_nodes).orderBy("key").toArrow()
+    hot_gram, hot_p = nodes.column("key").to_numpy().astype(np.uint32), nodes.column("p").to_numpy()
     words = counts.where("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("c"))
     hot = words.orderBy(F.desc("c"), "word").limit(hot_words).toArrow()
     w, c = hot.column("word").to_numpy().astype(np.int64).view(U64), hot.column("c").to_numpy().astype(np.int64)
@@ -194,33 +264,44 @@ def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX
                 k, is_hot = _find(hot_word, h)
                 value = np.where(is_hot, np.log10((hot_count[k] if len(hot_count) else 0) + 1.0) - floor, 0.0)
                 summed = lambda v: np.diff(np.concatenate([[0.0], np.cumsum(v)])[wa])  # noqa: B023, E731
-                rare, times = [], []
+                g, ga = byte_grams(data, at)
+                gk, hot_g = _find(hot_gram, g)
+                p = np.where(hot_g, hot_p[gk] if len(hot_p) else 0.0, 0.0)
+                rare, times = [], []  # words, then n-grams
                 for d in range(j - i):
-                    own = h[wa[d]:wa[d + 1]][~is_hot[wa[d]:wa[d + 1]]]
-                    u, n = np.unique(own, return_counts=True)
-                    rare.append(u.view(np.int64)), times.append(n.astype(np.int32))
+                    for keys, known, ends in ((h, is_hot, wa), (g, hot_g, ga)):
+                        own = keys[ends[d]:ends[d + 1]][~known[ends[d]:ends[d + 1]]]
+                        u, n = np.unique(own, return_counts=True)
+                        rare.append(u.astype(U64).view(np.int64)), times.append(n.astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), batch.column(3).slice(i, j - i),
                      pa.array(np.diff(wa).astype(np.int64)), pa.array(summed(is_hot).astype(np.int64)),
-                     pa.array(summed(value)), pa.array(trie.scores(data, at)),
-                     pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                    names=["doc_id", "text_hash", "held_out", "words", "hot", "hot_score", "score", "rare", "times"])
+                     pa.array(summed(value)), pa.array(np.diff(np.concatenate([[0.0], np.cumsum(p)])[ga])),
+                     pa.array(rare[::2], pa.list_(pa.int64())), pa.array(times[::2], pa.list_(pa.int32())),
+                     pa.array(rare[1::2], pa.list_(pa.int64())), pa.array(times[1::2], pa.list_(pa.int32()))],
+                    names=["doc_id", "text_hash", "held_out", "words", "hot", "hot_score", "score", "rare", "times",
+                           "rare_grams", "gram_times"])
 
     passed = map_arrow(
         rows.select("doc_id", "text_hash", "text", "held_out"), run, f"doc_id {kind}, text_hash long, held_out boolean, words long, hot long, hot_score double, score double, "
-             "rare array<long>, times array<int>")
+             "rare array<long>, times array<int>, rare_grams array<long>, gram_times array<int>")
     # one pass over the texts writes the sums and the rare words of each text
     passed = materialize(passed, "scored")
     keys = ["doc_id", "text_hash"]
     # equal rows are one key here and are dealt out again at the end
     own = ("held_out", "words", "hot", "hot_score", "score")
     per_key = passed.groupBy(*keys).agg(F.count("*").alias("copies"), *[F.max(c).alias(c) for c in own])
-    rare = (passed.select(*keys, F.explode(F.arrays_zip("rare", "times")).alias("e"))
-            .select(*keys, F.col("e.rare").alias("word"), F.col("e.times").alias("times")))
-    met = (rare.join(words, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-           .groupBy(*keys).agg(F.sum(F.col("times") * (F.log10(F.col("c") + 1) - float(floor))).alias("rare_score"),
-                               F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known")))
-    met = met.select(*[F.col(k).alias(f"r_{k}") for k in keys], "rare_score", "rare_known")
+    item = lambda kind, key, times: F.transform(F.arrays_zip(key, times), lambda e: F.struct(
+        F.lit(kind).alias("kind"), e[key].alias("key"), e[times].alias("times")))
+    rare = passed.select(*keys, F.explode(F.concat(item(1, "rare", "times"), item(0, "rare_grams", "gram_times"))).alias("e"))
+    values = (words.select(F.lit(1).alias("kind"), F.col("word").alias("key"), F.log10(F.col("c") + 1).alias("value"))
+              .unionByName(grams.select(F.lit(0).alias("kind"), "key", F.col("p").alias("value"))))
+    is_word, times = F.col("kind") == 1, F.col("times")
+    met = (rare.select(*keys, "e.*").join(values, ["kind", "key"], "left").groupBy(*keys).agg(
+        F.sum(F.when(is_word, times * (F.coalesce("value", F.lit(0.0)) - float(floor))).otherwise(0.0)).alias("rare_score"),
+        F.sum(F.when(is_word & F.col("value").isNotNull(), times).otherwise(0)).alias("rare_known"),
+        F.sum(F.when(is_word, 0.0).otherwise(times * F.col("value"))).alias("gram_score")))
+    met = met.select(*[F.col(k).alias(f"r_{k}") for k in keys], "rare_score", "rare_known", "gram_score")
     joined = per_key.join(met, per_key["doc_id"].eqNullSafe(met["r_doc_id"])
                           & (per_key["text_hash"] == met["r_text_hash"]), "left")
     zero = lambda col: F.coalesce(F.col(col) / F.col("copies"), F.lit(0))
@@ -228,5 +309,6 @@ def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX
         "doc_id", "held_out", (F.col("words") + 1).alias("n_tokens"),
         (F.col("hot") + zero("rare_known") + (1 if n_docs else 0)).cast("long").alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("hot_score") + zero("rare_score") + end).alias("base_score"), "score",
+        (F.col("hot_score") + zero("rare_score") + end).alias("base_score"),
+        (F.col("score") + zero("gram_score")).alias("score"),
         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).drop("copy")

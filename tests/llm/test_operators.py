@@ -223,6 +223,20 @@ def test_ppm_is_a_distribution_and_base_score(docs, rows, empty):
     assert ppm.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("max_nodes", [0, 40, 500_000])
+def test_ppm_scores_with_all_grams(docs, rows, max_nodes):
+    def grams(texts):
+        data = [(t or "").encode() for t in texts]
+        return ppm.byte_grams(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0] + [len(d) for d in data]))
+    learn = [r[1] for r in rows if r[0] is None or zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    g, n = np.unique(grams(learn)[0], return_counts=True)
+    p, at = ppm.Trie.of(g, n.astype(float)).log10p(grams([r[1] for r in rows])[0]), grams([r[1] for r in rows])[1]
+    want = sorted((str(r[0]), round(p[a:b].sum(), 6)) for r, a, b in zip(rows, at, at[1:]))
+    got = sorted((str(r.doc_id), round(r.score, 6)) for r in ppm.score(docs, max_nodes=max_nodes).collect())
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], rtol=0, atol=2e-6)
+
+
 # -- op 7 -------------------------------------------------------------------
 def shingles(text):
     w = words((text or "").translate(AZ))
