@@ -590,6 +590,33 @@ UNION ALL SELECT 'avg_probability', count(DISTINCT model) FROM live
 UNION ALL SELECT 'recent', least(count(*), 20) FROM live
 UNION ALL SELECT 'drift', 2"""
 
+_DAY = "CAST(CAST(timestamp AS DATE) AS VARCHAR)"
+ORACLES["job_dashboard"] = W(LOG, """
+base AS (SELECT * FROM log WHERE timestamp < TIMESTAMP '2024-01-16'),
+live AS (SELECT * FROM log WHERE timestamp >= TIMESTAMP '2024-01-16'),
+shares AS (SELECT greatest(b.p, 0.0001) AS bp, coalesce(l.p, 0.0001) AS lp
+           FROM (SELECT k, count(*) / (SELECT count(k) FROM base) AS p FROM base WHERE k IS NOT NULL GROUP BY k) b
+           LEFT JOIN (SELECT k, count(*) / (SELECT count(k) FROM live) AS p FROM live WHERE k IS NOT NULL GROUP BY k) l
+           ON b.k = l.k),
+drift AS (SELECT 'value|numeric' AS f, round(least(abs((SELECT avg(value) FROM live) - avg(value))
+                                                   / (stddev_pop(value) + 1e-9), 2.0), 4) AS s FROM base
+          UNION ALL SELECT 'k|categorical', round(abs(sum((lp - bp) * ln(lp / bp))), 4) FROM shares),
+newest AS (SELECT * FROM log ORDER BY timestamp DESC NULLS LAST, id DESC LIMIT 20)""") + f"""
+SELECT 'summary' AS table_name, 'all' AS key, 'total' AS metric, CAST(count(*) AS DOUBLE) AS value FROM log
+UNION ALL SELECT 'summary', 'all', 'churn_rate', round(avg(prediction), 10) FROM log
+UNION ALL SELECT 'daily_rate', {_DAY} || '|' || model, 'churn_rate', round(avg(prediction), 10) FROM log GROUP BY 2
+UNION ALL SELECT 'daily_volume', {_DAY} || '|' || model, 'n', count(*) FROM log GROUP BY 2
+UNION ALL SELECT 'risk', model || '|' || risk_level, 'n', count(*) FROM log GROUP BY 2
+UNION ALL SELECT 'avg_probability', model, 'avg_probability', round(avg(probability), 4) FROM log GROUP BY 2
+UNION ALL SELECT 'recent', strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '|' || model || '|' ||
+                 CASE prediction WHEN 1 THEN 'Churn' ELSE 'Stay' END || '|' || risk_level, 'probability',
+                 round(probability, 10) FROM newest
+UNION ALL SELECT 'drift', f || '|' || CASE WHEN s > 0.2 THEN 'Drifted' ELSE 'OK' END, 'drift_score', s FROM drift
+""" + "".join(f"""UNION ALL SELECT 'summary', 'all', 'n_{m}', count(*) FILTER (WHERE model = '{m}') FROM log
+UNION ALL SELECT 'pivot_rate', {_DAY}, '{m}', round(avg(prediction) FILTER (WHERE model = '{m}'), 10) FROM log GROUP BY 2
+UNION ALL SELECT 'pivot_volume', {_DAY}, '{m}', count(*) FILTER (WHERE model = '{m}') FROM log GROUP BY 2
+""" for m in MODELS)
+
 
 def oracles() -> dict[str, str]:
     return dict(ORACLES)

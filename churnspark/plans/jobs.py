@@ -21,7 +21,7 @@ from churnspark.operators.split import stratified_split
 from churnspark.plans import fixtures as fx
 from churnspark.profile import CHURN_BASE, Profile
 from churnspark.queries import CAT, NUM, _prepared, _train, q, r
-from churnspark.session import read_or_empty, scratch_path
+from churnspark.session import materialize, read_or_empty, scratch_path
 from churnspark.sources import csv as CSV, logs as LG
 from churnspark.streaming import streams as SS
 
@@ -143,12 +143,15 @@ def job_train_evaluate(spark: SparkSession, prepared_path: str, profile: Profile
 
 
 def job_monitor(spark: SparkSession, log: DataFrame, num_profile: DataFrame, cat_profile: DataFrame,
-                models) -> dict[str, DataFrame]:
-    """Every dashboard table off ONE cached scan of the log.
+                models, drift_from=None) -> dict[str, DataFrame]:
+    """Every dashboard table off ONE cached scan of the whole log; rows from
+    the timestamp ``drift_from`` on (default: all) are compared with the
+    baseline profile in the drift report.
 
     The persisted log is returned under ``"log"``; call ``unpersist()`` on it
     once the tables have been consumed."""
     log = log.persist()
+    live = log if drift_from is None else log.where(F.col("timestamp") >= drift_from)
     return {
         "log": log,
         "summary": L.log_summary(log, models),
@@ -159,10 +162,33 @@ def job_monitor(spark: SparkSession, log: DataFrame, num_profile: DataFrame, cat
         "risk": L.risk_distribution(log),
         "avg_probability": L.avg_probability(log),
         "recent": L.recent(log, 20),
-        "drift": D.drift_report(log.select("inputs.*"), num_profile, cat_profile),
+        "drift": D.drift_report(live.select("inputs.*"), num_profile, cat_profile),
     }
 
 
+def dashboard_rows(tables: dict[str, DataFrame], models) -> DataFrame:
+    """The contents of all dashboard tables: (table_name, key, metric, value)."""
+    day, per_model = F.col("date").cast("string"), F.concat_ws("|", F.col("date").cast("string"), "model")
+    wide = {m: m for m in models}
+    layout = {
+        "summary": (F.lit("all"), {c: c for c in ("total", *[f"n_{m}" for m in models], "churn_rate")}),
+        "daily_rate": (per_model, {"churn_rate": "churn_rate"}), "daily_volume": (per_model, {"n": "n"}),
+        "pivot_rate": (day, wide), "pivot_volume": (day, wide),
+        "risk": (F.concat_ws("|", "model", "risk_level"), {"n": "n"}),
+        "avg_probability": (F.col("model"), {"avg_probability": "avg_probability"}),
+        "recent": (F.concat_ws("|", "timestamp", "model", "prediction", "risk_level"), {"probability": "probability"}),
+        "drift": (F.concat_ws("|", "feature", "type", "status"), {"drift_score": "drift_score"}),
+    }
+    out = None
+    for name, (key, metrics) in layout.items():
+        values = F.array(*[F.struct(F.lit(m).alias("metric"), r(F.col(c).cast("double"), 10).alias("value"))
+                           for m, c in metrics.items()])
+        part = tables[name].select(F.lit(name).alias("table_name"), key.alias("key"), F.explode(values).alias("e")) \
+            .select("table_name", "key", "e.*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --------------------------------------------------- rows-checked queries
 @q("train_logreg")
 def q_train_logreg(spark, sf):
@@ -398,3 +424,13 @@ def q_job_monitor(spark, sf):
     cached.unpersist()
     return spark.createDataFrame(counts, "table_name string, n_rows long")
 
+
+@q("job_dashboard")
+def q_job_dashboard(spark, sf):
+    log = fx.inference_log(spark, sf)
+    cut = F.lit("2024-01-16").cast("timestamp")
+    num, cat = D.baseline_profile(log.where(F.col("timestamp") < cut).select("inputs.*"), ["value"], ["k"])
+    tables = job_monitor(spark, log, num, cat, fx.LOG_MODELS, drift_from=cut)
+    rows = materialize(dashboard_rows(tables, fx.LOG_MODELS), "dashboard")
+    tables["log"].unpersist()
+    return rows
