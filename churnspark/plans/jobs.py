@@ -25,8 +25,6 @@ from churnspark.session import materialize, read_or_empty, scratch_path
 from churnspark.sources import csv as CSV, logs as LG
 from churnspark.streaming import streams as SS
 
-SMALL_TREES = 10   # queries() use few trees; the job defaults keep 300
-
 
 # ------------------------------------------------------------ sinks
 RUNS_SCHEMA = T.StructType([
@@ -200,7 +198,7 @@ def q_train_logreg(spark, sf):
 @q("train_boosted")
 def q_train_boosted(spark, sf):
     prep, _ = _prepared(spark, sf)
-    m = MD.train_boosted(_train(prep), CHURN_BASE.features, "churn", trees=SMALL_TREES, depth=4)
+    m = MD.train_boosted(_train(prep), CHURN_BASE.features, "churn")
     curve = MD.eval_curve(m, prep.where("split = 'val'"), "churn")
     return curve
 
@@ -208,19 +206,19 @@ def q_train_boosted(spark, sf):
 @q("train_forest")
 def q_train_forest(spark, sf):
     prep, _ = _prepared(spark, sf)
-    m = MD.train_forest(_train(prep), CHURN_BASE.features, "churn", trees=SMALL_TREES, depth=5)
+    m = MD.train_forest(_train(prep), CHURN_BASE.features, "churn")
     return evaluate(m, prep.where("split = 'val'"), "churn").withColumn("model", F.lit("forest"))
 
 
 @q("top_feature_importance")
 def q_top_feature_importance(spark, sf):
     prep, _ = _prepared(spark, sf)
-    m = MD.train_forest(_train(prep), CHURN_BASE.features, "churn", trees=SMALL_TREES, depth=5)
+    m = MD.train_forest(_train(prep), CHURN_BASE.features, "churn")
     return MD.top_feature_importance(m, CHURN_BASE.features, 10)
 
 
-SEARCH_SPACE = (("logreg", {"C": 1.0}), ("forest", {"trees": SMALL_TREES, "depth": 4}),
-                ("boosted", {"trees": SMALL_TREES, "depth": 3}))
+#: Every learner with its defaults.
+SEARCH_SPACE = (("logreg", {}), ("forest", {}), ("boosted", {}))
 
 
 @q("model_search")
@@ -236,7 +234,7 @@ def q_ensemble_vote(spark, sf):
     prep, _ = _prepared(spark, sf)
     tr = _train(prep)
     ms = [MD.train_logreg(tr, CHURN_BASE.features, "churn"),
-          MD.train_forest(tr, CHURN_BASE.features, "churn", trees=SMALL_TREES, depth=4)]
+          MD.train_forest(tr, CHURN_BASE.features, "churn")]
     v = MD.ensemble_vote(ms, prep.where("split = 'test'"))
     return M.metrics(v, "churn", "probability_1")
 
@@ -245,7 +243,7 @@ def q_ensemble_vote(spark, sf):
 def q_ensemble_stack(spark, sf):
     prep, _ = _prepared(spark, sf)
     base, meta = MD.ensemble_stack(_train(prep), CHURN_BASE.features, "churn", "c_custkey",
-                                   [("logreg", {}), ("forest", {"trees": SMALL_TREES, "depth": 4})], folds=3)
+                                   [("logreg", {}), ("forest", {})], folds=3)
     s = MD.stack_predict(base, meta, prep.where("split = 'test'"))
     return M.metrics(s, "churn", "probability_1")
 
@@ -267,7 +265,7 @@ def q_batch_score(spark, sf):
     prep, _ = _prepared(spark, sf)
     tr = _train(prep)
     models = {"logreg": MD.train_logreg(tr, CHURN_BASE.features, "churn"),
-              "boosted": MD.train_boosted(tr, CHURN_BASE.features, "churn", trees=SMALL_TREES, depth=3)}
+              "boosted": MD.train_boosted(tr, CHURN_BASE.features, "churn")}
     return MD.batch_score(prep.where("split = 'test'"), models, key="c_custkey")
 
 
@@ -295,7 +293,7 @@ def _stream_log(events: DataFrame) -> DataFrame:
 @q("stream_score")
 def q_stream_score(spark, sf):
     prep, st = _prepared(spark, sf)
-    model = MD.train_logreg(_train(prep), CHURN_BASE.features, "churn", max_iter=50)
+    model = MD.train_logreg(_train(prep), CHURN_BASE.features, "churn")
     # arriving requests: the raw churn rows, written as files by Spark
     req_dir = scratch_path(spark, "requests")
     base = fx.churn_with_nulls(spark, sf).withColumn("ts", F.current_timestamp())
@@ -384,22 +382,22 @@ def q_job_prepare(spark, sf):
     return s.groupBy("split", "churn").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _job_train(spark, sf, algorithms, trees):
+def _job_train(spark, sf, algorithms):
     out, prof = _ingested_prepared(spark, sf)
     reg = scratch_path(spark, "registry")
-    job_train_evaluate(spark, f"{out}/splits", prof, reg, algorithms=algorithms, trees=trees)
-    dec = job_train_evaluate(spark, f"{out}/splits", prof, reg, algorithms=algorithms, trees=trees)
+    job_train_evaluate(spark, f"{out}/splits", prof, reg, algorithms=algorithms)
+    dec = job_train_evaluate(spark, f"{out}/splits", prof, reg, algorithms=algorithms)
     return dec.select("name", "version", "cand_roc_auc", "prod_roc_auc", "promote")
 
 
 @q("job_manual")
 def q_job_manual(spark, sf):
-    return _job_train(spark, sf, ("logreg", "boosted"), SMALL_TREES)
+    return _job_train(spark, sf, ("logreg", "boosted"))
 
 
 @q("job_retrain")
 def q_job_retrain(spark, sf):
-    return _job_train(spark, sf, ("boosted",), SMALL_TREES)
+    return _job_train(spark, sf, ("boosted",))
 
 
 @q("job_search")

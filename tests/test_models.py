@@ -1,10 +1,15 @@
 """Model training smoke tests (few trees): mechanics, never a minimum AUC."""
 
+import inspect
+import tempfile
+
+import pytest
 from pyspark.sql import functions as F
 
+from churnspark import queries
 from churnspark.operators import features as FE, models as MD, metrics as M
 from churnspark.operators.split import stratified_split
-from churnspark.plans import fixtures as fx
+from churnspark.plans import fixtures as fx, jobs
 from churnspark.profile import CHURN_BASE
 from conftest import SF0001
 
@@ -50,3 +55,47 @@ def test_search_and_ensembles(spark):
     assert MD.stack_predict(base, meta, va).count() == va.count()
     prof = MD.auto_featurize(fx.churn_base(spark, SF0001), "churn", exclude=["c_custkey"])
     assert set(prof.categorical) == {"c_mktsegment", "n_name"}
+
+
+class Fitted(Exception):
+    pass
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    return prepared(spark).withColumn("ts", F.lit(0))
+
+
+@pytest.mark.parametrize("key,learners", [
+    ("train_boosted", {"boosted"}), ("train_forest", {"forest"}), ("top_feature_importance", {"forest"}),
+    ("model_search", {"boosted", "forest"}), ("ensemble_vote", {"forest"}), ("ensemble_stack", {"forest"}),
+    ("batch_score", {"boosted"}), ("job_manual", {"boosted"}), ("job_retrain", {"boosted"}),
+    ("job_search", {"boosted", "forest"}), ("sink_model", set()), ("stream_score", set())])
+def test_registered_learners_use_the_operators_defaults(spark, small, monkeypatch, key, learners):
+    """Which fits a query asks for; the tree fits themselves are not run."""
+    seen, logreg = [], MD.train_logreg
+
+    def recorder(name, fn):
+        def call(*args, **kwargs):
+            bound = inspect.signature(fn).bind(*args, **kwargs)
+            bound.apply_defaults()
+            seen.append((name, {k: bound.arguments[k] for k in ("trees", "depth", "max_iter") if k in bound.arguments}))
+            if name != "logreg" or not learners:
+                raise Fitted
+            return logreg(*args, **{**kwargs, "max_iter": 1})
+        return call
+    for name in ("logreg", "boosted", "forest"):
+        monkeypatch.setattr(MD, f"train_{name}", recorder(name, getattr(MD, f"train_{name}")))
+    for module in (jobs, queries):
+        monkeypatch.setattr(module, "_prepared", lambda spark, sf: (small, None))
+    monkeypatch.setattr(jobs, "_ingested_prepared", lambda spark, sf: (written(small), CHURN_BASE))
+    with pytest.raises(Fitted):
+        queries.registry()[key](spark, SF0001)
+    want = {"logreg": {"max_iter": 1000}, "boosted": {"trees": 300, "depth": 6}, "forest": {"trees": 300, "depth": 8}}
+    assert learners <= {n for n, _ in seen} and seen and all(p == want[n] for n, p in seen)
+
+
+def written(df):
+    path = tempfile.mkdtemp(prefix="churnspark-test-")
+    df.write.partitionBy("split").parquet(f"{path}/splits")
+    return path
