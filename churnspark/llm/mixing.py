@@ -35,8 +35,8 @@ GOLDEN = 0.6180339887498949
 #: Hash buckets of each source's running sum, and slots in a schedule chunk.
 BUCKET_HEX = 3
 CHUNK = 4096
-#: Slots beyond the sum of all quotas: the largest share by which a source's
-#: count may lag behind its expectation.
+#: Slots beyond the sum of all quotas, as a source's count may lag behind its
+#: expectation; what is lacking even then is added at the end.
 SPARE = 0.125
 
 
@@ -93,13 +93,20 @@ def schedule(sources: DataFrame) -> DataFrame:
               .withColumn("cell", F.floor(F.col("u") * cells)))
     drawn = (points.join(covers, "cell").where("u >= lo AND u < hi")
              .select("slot", "k", F.floor(F.col("slot") / CHUNK).alias("chunk")))
-    earlier = (drawn.groupBy("k", "chunk").count()
+    counts = drawn.groupBy("k", "chunk").count()
+    earlier = (counts
                .select("k", "chunk", F.coalesce(F.sum("count").over(
                    Window.partitionBy("k").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("before")))
     inside = drawn.withColumn("nth", F.row_number().over(Window.partitionBy("k", "chunk").orderBy("slot")) - 1)
-    return (inside.join(earlier, ["k", "chunk"]).withColumn("rank", F.col("before") + F.col("nth"))
-            .join(sources.select("k", "slots"), "k").where("rank < slots").select("slot", "k", "rank"))
+    ranked = (inside.join(earlier, ["k", "chunk"]).withColumn("rank", F.col("before") + F.col("nth"))
+              .join(sources.select("k", "slots"), "k").where("rank < slots").select("slot", "k", "rank"))
+    # the interval of a tiny source may lie between points: what it lacks comes after all others
+    got = counts.groupBy("k").agg(F.sum("count").alias("got"))
+    lacking = (sources.join(got, "k", "left").withColumn("got", F.coalesce("got", F.lit(0))).where("got < slots")
+               .select("k", F.round(F.col("lo") * F.col("all_slots")).cast("long").alias("first"),
+                       F.explode(F.sequence(F.col("got"), F.col("slots") - 1)).alias("rank")))
+    return ranked.unionByName(lacking.select((F.lit(n_slots) + F.col("first") + F.col("rank")).alias("slot"), "k", "rank"))
 
 
 def block_usage(slots: DataFrame, sources: DataFrame) -> DataFrame:

@@ -192,6 +192,13 @@ def test_mix_meets_targets(spark, docs, rows, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mix_gives_tiny_sources_their_quota(spark):
+    rows = [(i, f"w{i}", f"tiny{i}") for i in range(300)] + [(1000 + i, "word " * 50, "large") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(df, block_words=1).groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert len(out) == 301 and all(r.taken == math.floor(r.target + 1e-9) for r in out)
+
+
 # -- op 5 -------------------------------------------------------------------
 def test_urls(spark):
     urls = ["http://A.Example.org/es/1?x", "https://www.org/y", "http://x.com/fr/2.html", "ftp://x.com/de/#a", None, "no scheme",
