@@ -1,42 +1,28 @@
-"""Baseline profile as JSON: ``{"numeric": {col: {mean, std}},
-"categorical": {col: {value: share}}}`` <-> two tables."""
+"""Baseline profile as two Parquet tables under one folder: ``numeric``
+(feature, mean, std), one row per feature, and ``categorical`` (feature,
+value, p), one row per feature and value.  The data bound the number of
+values, so no row or task holds them all."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from churnspark.session import read_or_empty
 
-PROFILE_SCHEMA = T.StructType([
-    T.StructField("numeric", T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))),
-    T.StructField("categorical", T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))),
-])
-
-
-def profile_document(num: DataFrame, cat: DataFrame) -> DataFrame:
-    """One-row document built by aggregation (profile tables are one row per
-    feature / per category, bounded by the schema)."""
-    n = num.agg(F.map_from_entries(F.collect_list(F.struct(
-        "feature", F.create_map(F.lit("mean"), F.col("mean"), F.lit("std"), F.col("std")))))
-        .alias("numeric"))
-    c = (cat.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("value", "p"))).alias("m"))
-         .agg(F.map_from_entries(F.collect_list(F.struct("feature", "m"))).alias("categorical")))
-    # both sides are one-row aggregates: combine with a scalar subquery
-    return n.select("numeric", c.select("categorical").scalar().alias("categorical"))
+NUMERIC = "feature string, mean double, std double"
+CATEGORICAL = "feature string, value string, p double"
 
 
 def write_profile(num: DataFrame, cat: DataFrame, path: str) -> None:
-    profile_document(num, cat).coalesce(1).write.mode("overwrite").json(path)
+    num.select("feature", "mean", "std").write.mode("overwrite").parquet(f"{path}/numeric")
+    cat.select("feature", "value", "p").write.mode("overwrite").parquet(f"{path}/categorical")
 
 
 def read_profile(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(num_profile, cat_profile); empty tables when the document is absent."""
-    doc = read_or_empty(lambda: spark.read.schema(PROFILE_SCHEMA).json(path),
-                        lambda: spark.createDataFrame([], PROFILE_SCHEMA))
-    num = (doc.select(F.explode("numeric").alias("feature", "s"))
-           .select("feature", F.col("s")["mean"].alias("mean"), F.col("s")["std"].alias("std")))
-    cat = (doc.select(F.explode("categorical").alias("feature", "m"))
-           .select("feature", F.explode("m").alias("value", "p")))
-    return num, cat
+    """(num_profile, cat_profile); empty tables when they are absent."""
+
+    def read(name: str, schema: str) -> DataFrame:
+        return read_or_empty(lambda: spark.read.schema(schema).parquet(f"{path}/{name}"),
+                             lambda: spark.createDataFrame([], schema))
+
+    return read("numeric", NUMERIC), read("categorical", CATEGORICAL)

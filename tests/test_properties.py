@@ -50,3 +50,11 @@ def test_profile_json_roundtrip(spark, tmp_dir):
     assert e1.count() == 0 and e2.count() == 0
     assert D.drift_report(base, e1, e2).count() == 0       # no baseline -> empty typed report
     assert D.drift_report(base.where(F.lit(False)), num, cat).where("drift_score is not null").count() == 1
+
+
+def test_profile_is_written_one_row_per_value(spark, tmp_dir):
+    num = spark.createDataFrame([("x", 1.0, 2.0)], "feature string, mean double, std double")
+    cat = spark.range(3000).selectExpr("'c' AS feature", "cast(id AS string) AS value", "1 / 3000D AS p").repartition(4)
+    PR.write_profile(num, cat, tmp_dir + "/p")
+    assert spark.read.parquet(tmp_dir + "/p/categorical").count() == 3000
+    assert PR.read_profile(spark, tmp_dir + "/p")[1].rdd.getNumPartitions() > 1
