@@ -87,7 +87,12 @@ def _shipped(application: str) -> None:
     SparkSession.active().sparkContext.addPyFile(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable for Python functions on any executor."""
+    _shipped(spark.sparkContext.applicationId)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` whose workers can import this package wherever they run."""
-    _shipped(df.sparkSession.sparkContext.applicationId)
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
