@@ -23,9 +23,13 @@ Recall: a pair at the threshold misses all bands with probability
 deviation 3.0: 4.5e-9) or 34 (at 0.8, 12.8 with deviation 3.4: 2.5e-8).
 Thresholds below 0.8 are refused, as no bands are chosen for them.
 
-Defined cases: text null or without words has an empty set and is its own
-component; a null id has a null component and is kept; rows with one id are
-one document (their texts' classes are connected through the id).
+Defined cases: text null or without words has an empty set and is linked with
+nothing; a null id has a null component and is kept; rows with one id are one
+document (the classes of all its texts, and its rows without words, are
+connected through the id before any text is compared); equal rows count once and
+are all returned; ties of the threshold are links; very long texts are read
+whole, in chunks of one text at least; an empty table gives an empty table;
+extra columns aren't read.
 """
 
 from __future__ import annotations
@@ -119,15 +123,16 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     (rep, text).  The hub ``b`` is the hot side: its rows follow each other
     within a partition, so its set is made once per run of rows."""
     one = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b")
+    two = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"), F.xxhash64("text").alias("hash_b"))
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b", "hash_b")
     kind = met.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, hub = None, None
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
-            b_ids, b_text = batch.column(1).to_pylist(), batch.column(3)
+            b_text = batch.column(3)
+            b_ids = list(zip(batch.column(1).to_pylist(), batch.column(4).to_pylist()))  # an id may have several texts
             for i, j, data, at in chunks(batch.column(2)):
                 for k, s in enumerate(shingle_sets(*word_hashes(data, at)), i):
                     if hub is None or b_ids[k] != last:
@@ -145,7 +150,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def private_shingles(texts: DataFrame) -> DataFrame:
     """(rep, private): shingles that no other of these texts has.  ``texts`` is
     (rep, text, several); ids with several texts get no row, which only weakens
-    the bound."""
+    the bound (a row too many per id would hide shingles that the id has alone)."""
     kind = texts.schema["rep"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,10 +212,33 @@ def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
             .select(F.col("rep").alias("a"), F.col("h_rep").alias("b")))
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(node, component) of the classes that are connected to a smaller one."""
-    fresh = classes.select("rep", F.col("rep").alias("comp"), "n", F.col("n").alias("shared"), "s1", "s2",
-                           F.explode("bands").alias("bucket"))
+_SET = ["n_shingles", "f1", "f2"]
+
+
+def several_texts(signed: DataFrame) -> DataFrame:
+    """doc_id of the ids that stand for more than one set (map-side combined)."""
+    one = F.struct(*_SET)
+    return (signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(one).alias("lo"), F.max(one).alias("hi"))
+            .where("lo <> hi").select("doc_id"))
+
+
+def id_links(signed: DataFrame, classes: DataFrame, several: DataFrame) -> DataFrame:
+    """(u, v): the representatives of the classes that meet in one id, each
+    linked with the smallest of them."""
+    own = (signed.where("n_shingles > 0").join(several, "doc_id").select("doc_id", *_SET).distinct()
+           .join(classes.select("rep", F.col("n").alias("n_shingles"), "f1", "f2"), _SET).select("doc_id", "rep"))
+    least = own.groupBy("doc_id").agg(F.min("rep").alias("v"))
+    return own.join(least, "doc_id").where("rep <> v").select(F.col("rep").alias("u"), "v").distinct()
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: str, text_col: str,
+                   several: DataFrame, component: DataFrame) -> DataFrame:
+    """(node, component) of the classes that are connected to a smaller one;
+    ``component`` has those that are connected from the start, ``several`` the
+    ids with more than one text."""
+    fresh = (classes.join(component, classes["rep"] == component["node"], "left")
+             .select("rep", F.coalesce("component", "rep").alias("comp"), "n", F.col("n").alias("shared"), "s1", "s2",
+                     F.explode("bands").alias("bucket")))
     found = materialize(_unresolved(fresh), "found")
     # only texts that may have a candidate (Bloom filters of fixed size: a text too many
     # meets no pair, and one taken for several only gets no bound)
@@ -220,10 +248,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
     members = materialize(found.join(own_bands.where("possible").drop("possible").distinct(), ["rep", "n", "s1", "s2"]), "members")
     text = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).where("rep IS NOT NULL")
     possible = with_possible(text, F.col("rep"), blocks, n_blocks).where("possible").select("rep", "text")
-    several = materialize(classes.groupBy("rep").count().where("count > 1").select("rep"), "several")
-    texts = materialize(with_possible(possible, F.col("rep"), *bloom_filter(several, "rep"), name="several"), "texts")
-    component = docs.sparkSession.createDataFrame(
-        [], classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).schema)
+    texts = materialize(with_possible(possible, F.col("rep"), *bloom_filter(several, "doc_id"), name="several").distinct(), "texts")
     per_bucket = 1
     while members.take(1):
         hubs = materialize(_hubs(members, per_bucket), "hubs")
@@ -251,10 +276,21 @@ def near_dedup(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_
     classes = materialize(usable.groupBy("n_shingles", "f1", "f2").agg(
         F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("bands", "s1", "s2")])
         .withColumnRenamed("n_shingles", "n"), "classes")
-    component = linked_classes(docs, classes, percent, id_col, text_col)
+    several = materialize(several_texts(signed), "several")
+    component = docs.sparkSession.createDataFrame(
+        [], classes.select(F.col("rep").alias("node"), F.col("rep").alias("component")).schema)
+    repeated = bool(several.take(1))
+    if repeated:
+        component = materialize(components(id_links(signed, classes, several)), "id_components")
+    component = linked_classes(docs, classes, percent, id_col, text_col, several, component)
     named = (classes.join(component, classes["rep"] == component["node"], "left")
              .select(F.col("n").alias("n_shingles"), "f1", "f2", F.coalesce("component", "rep").alias("component_id")))
-    return (signed.select("doc_id", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    out = (signed.select("doc_id", *_SET).join(named, _SET, "left")
+           .select("doc_id", "n_shingles",
+                   F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
+    if repeated:  # rows without words go with the other texts of their id
+        met = materialize(out, "met")
+        least = (met.where("n_shingles > 0").join(several, "doc_id").groupBy("doc_id")
+                 .agg(F.min("component_id").alias("of_id")))
+        out = met.join(least, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("of_id", "component_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
