@@ -6,6 +6,10 @@ source.  Slots are ranked per source, and rank k takes block k of the source:
 its documents, shuffled by hash, are one stream of words cut into blocks of
 equal size; the stream starts anew when it is used up.  The last slot of a
 source is cut so that the source's words meet its quota (target rounded down).
+A document's ``first_slot`` is the slot of the schedule that first takes words
+of it: in this order the documents are the mix, and every stretch from its
+start on holds the sources in their shares, up to the discrepancy of the points
+(at most 1 + ln(slots) slots of a source too many or too few).
 
 Targets: sources by code point, null last, weigh ``weights`` in turn and share
 ``factor`` times all words; a target stops at ``max_repeats`` times its
@@ -20,7 +24,9 @@ source.  Documents travel as id, source and size; texts are read once.
 
 Defined cases: null text has size 0 and is never taken; null source is a
 source of its own; repeated rows count each; equal ids and sizes are
-interchangeable; no rows or no words give taken 0; result order is free.
+interchangeable; no rows or no words give taken 0 and no first slot; very long
+texts are words like any other (only their number travels); extra columns aren't
+read; result order is free.
 """
 
 from __future__ import annotations
@@ -110,8 +116,8 @@ def schedule(sources: DataFrame) -> DataFrame:
 
 
 def block_usage(slots: DataFrame, sources: DataFrame) -> DataFrame:
-    """How often each block is taken whole, and how many of its first words
-    the source's last, cut slot takes."""
+    """How often each block is taken whole, how many of its first words the
+    source's last, cut slot takes, and the first slot of either kind."""
     used = (slots.join(sources, "k")
             .withColumn("epoch", F.floor(F.col("rank") / F.col("n_blocks")))
             .withColumn("nr", F.col("rank") % F.col("n_blocks"))
@@ -120,7 +126,9 @@ def block_usage(slots: DataFrame, sources: DataFrame) -> DataFrame:
                                         - F.col("nr") * F.col("block"))))
     return used.groupBy("k", "nr").agg(
         F.sum(F.when(F.col("fill") == F.col("length"), 1).otherwise(0)).alias("whole"),
-        F.max(F.when(F.col("fill") < F.col("length"), F.col("fill")).otherwise(0)).alias("part"))
+        F.max(F.when(F.col("fill") < F.col("length"), F.col("fill")).otherwise(0)).alias("part"),
+        F.min(F.when(F.col("fill") == F.col("length"), F.col("slot"))).alias("whole_slot"),
+        F.min(F.when(F.col("fill") < F.col("length"), F.col("slot"))).alias("part_slot"))
 
 
 def stream_starts(rows: DataFrame) -> DataFrame:
@@ -137,7 +145,8 @@ def stream_starts(rows: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights: tuple[float, ...] = (5, 2, 1), factor: float = 1.5, max_repeats: float = 2.0,
         block_words: int = 4096, min_slots: int = 64) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken."""
+    """One row per input row: doc_id, source, size, source_size, target, taken,
+    first_slot (null if nothing is taken)."""
     sized = materialize(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                                     n_words(text_of(text_col)).alias("size")), "sizes")
     sources = materialize(source_targets(sized, weights, factor, max_repeats, block_words, min_slots), "sources")
@@ -158,9 +167,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
               .withColumn("len", F.least(F.col("start") + F.col("size"), (F.col("nr") + 1) * F.col("block"))
                           - F.greatest(F.col("start"), F.col("nr") * F.col("block"))))
     out = ["doc_id", "source", "size", "source_size", "target"]
-    took = F.coalesce(F.col("whole") * F.col("len")
-                      + F.greatest(F.lit(0), F.least(F.col("part") - F.col("off"), F.col("len"))), F.lit(0))
+    last_words = F.greatest(F.lit(0), F.least(F.col("part") - F.col("off"), F.col("len")))
+    took = F.coalesce(F.col("whole") * F.col("len") + last_words, F.lit(0))
+    slot = F.least("whole_slot", F.when(last_words > 0, F.col("part_slot")))
     taken = (pieces.join(usage, ["k", "nr"], "left").groupBy(*out, "start")
-             .agg(F.sum(took).cast("long").alias("taken")).drop("start"))
-    empty = rows.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken"))
+             .agg(F.sum(took).cast("long").alias("taken"), F.min(slot).alias("first_slot")).drop("start"))
+    empty = rows.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken"), F.lit(None).cast("long").alias("first_slot"))
     return taken.unionByName(empty)

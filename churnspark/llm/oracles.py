@@ -39,16 +39,49 @@ water AS (SELECT arg_min(level, ratio) AS water FROM levels WHERE ratio > level)
 targets AS (
   SELECT source, source_size, CASE WHEN water IS NULL OR ratio <= water THEN cap ELSE water * weight END AS target
   FROM levels, water),
+quotas AS (
+  SELECT r.k, t.*, CAST(floor(least(t.target, 2 * t.source_size)) AS BIGINT) AS quota,
+         CAST(greatest(1, least(4096, floor(t.target / 64))) AS BIGINT) AS block
+  FROM targets t JOIN ranked r ON t.source IS NOT DISTINCT FROM r.source),
+needed AS (
+  SELECT *, CAST(ceil(source_size / block) AS BIGINT) AS n_blocks,
+         CASE WHEN source_size > 0 THEN (quota // source_size) * CAST(ceil(source_size / block) AS BIGINT)
+              + CAST(ceil((quota % source_size) / block) AS BIGINT) ELSE 0 END AS slots FROM quotas),
+shares AS (
+  SELECT *, sum(slots) OVER () AS all_slots,
+         coalesce(sum(slots) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+           / greatest(sum(slots) OVER (), 1) AS lo,
+         sum(slots) OVER (ORDER BY k) / greatest(sum(slots) OVER (), 1) AS hi FROM needed),
+n_slots AS (
+  SELECT CASE WHEN max(all_slots) > 0 THEN CAST(floor(max(all_slots) * 1.125::DOUBLE) AS BIGINT) + 64 ELSE 0 END AS n FROM shares),
+points AS (SELECT i AS slot, ((i + 1) * 0.6180339887498949::DOUBLE) % 1.0::DOUBLE AS u
+           FROM (SELECT unnest(range(CAST(n AS BIGINT))) AS i FROM n_slots)),
+drawn AS (
+  SELECT p.slot, s.k, row_number() OVER (PARTITION BY s.k ORDER BY p.slot) - 1 AS rank
+  FROM points p JOIN shares s ON p.u >= s.lo AND p.u < s.hi),
+slots AS (
+  SELECT d.k, d.slot, d.rank FROM drawn d JOIN shares s ON s.k = d.k AND d.rank < s.slots
+  UNION ALL
+  SELECT k, n + CAST(round(lo * all_slots) AS BIGINT) + rank AS slot, rank
+  FROM (SELECT s.k, s.lo, s.all_slots, unnest(range(CAST(g.got AS BIGINT), CAST(s.slots AS BIGINT))) AS rank
+        FROM shares s JOIN (SELECT s.k, count(d.slot) AS got FROM shares s LEFT JOIN drawn d ON d.k = s.k GROUP BY s.k) g
+          ON g.k = s.k), n_slots),
 starts AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target, CAST(floor(least(t.target, 2 * t.source_size)) AS BIGINT) AS quota,
-         coalesce(sum(s.size) OVER (PARTITION BY s.source
+  SELECT s.doc_id, s.size, q.*, coalesce(sum(s.size) OVER (PARTITION BY s.source
            ORDER BY md5(CAST(s.doc_id AS VARCHAR)), CAST(s.doc_id AS VARCHAR)
-           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(source_size AS BIGINT) AS source_size, target,
-       CAST(CASE WHEN size = 0 THEN 0 ELSE (quota // source_size) * size
-            + greatest(0, least(size, (quota % source_size) - start)) END AS BIGINT) AS taken
-FROM starts
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, row_number() OVER () AS row_nr
+  FROM sized s JOIN shares q ON s.source IS NOT DISTINCT FROM q.source),
+firsts AS (
+  -- the words of a slot: block rank % n_blocks of the stream, cut at the quota
+  SELECT t.row_nr, min(s.slot) AS first_slot
+  FROM starts t JOIN slots s ON s.k = t.k AND s.rank % t.n_blocks BETWEEN t.start // t.block AND (t.start + t.size - 1) // t.block
+  WHERE t.size > 0
+    AND least(t.source_size, (s.rank % t.n_blocks + 1) * t.block, t.quota - (s.rank // t.n_blocks) * t.source_size) > t.start
+  GROUP BY t.row_nr)
+SELECT t.doc_id, CAST(t.size AS BIGINT) AS size, CAST(t.source_size AS BIGINT) AS source_size, t.target,
+       CAST(CASE WHEN t.size = 0 THEN 0 ELSE (t.quota // t.source_size) * t.size
+            + greatest(0, least(t.size, (t.quota % t.source_size) - t.start)) END AS BIGINT) AS taken, f.first_slot
+FROM starts t LEFT JOIN firsts f ON f.row_nr = t.row_nr
 """
 
 OP5 = f"""
