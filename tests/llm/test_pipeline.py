@@ -66,3 +66,34 @@ def test_near_stage_keeps_one_of_a_pair_at_four_fifths(spark):
                                  "doc_id long, text string, lang string, source string, n_chars int")
     kept = {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()}
     assert kept == set(range(len(texts))) - gone
+
+
+def test_no_text_is_lost_under_a_repeated_id(spark):
+    rng = random.Random(3)
+    a, b, c = (prose(rng, 40) for _ in range(3))
+    rows = [(5, a), (7, a), (5, b), (3, b), (3, c), (3, c), (None, a), (None, a), (9, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near(spark, docs, "").collect()), key=str)
+    assert [x for x in kept if x[0] is None] == [(None, a)] * 2
+    assert [x for x in kept if x[0] in (3, 5, 7)] == sorted([(5, a), (3, b), (3, c)], key=str)
+    assert [i for i, _ in kept].count(9) == 1
+
+
+def test_near_stage_catches_planted_copies_of_many_lines(spark):
+    """Ten texts of twenty lines and a copy of each with a word changed."""
+    rng = random.Random(6)
+    texts = ["\n".join(prose(rng, 12) for _ in range(20)) for _ in range(10)]
+    copies = [t.replace(t.split()[100], "changed", 1) for t in texts]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts + copies)],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    assert {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()} == set(range(10))
+
+
+def test_columns_that_clash_are_kept(spark):
+    docs = spark.createDataFrame([(1, "some words of a text", "en", "s", 3, "t", 4, "x", None)],
+                                 "doc_id long, text string, lang string, source string, n_chars int, Target string, taken int, "
+                                 "target_given string, `row` string")
+    out = corpus_pipeline.mix(spark, docs, "")
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "Target_given_", "taken_given", "target_given", "row",
+                           "target", "taken", "first_slot"]
+    assert [tuple(r)[5:8] for r in out.collect()] == [("t", 4, "x")]
