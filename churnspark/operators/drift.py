@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnspark.functions.scalar import DRIFT_THRESHOLD, drift_status
+from churnspark.functions.scalar import DRIFT_THRESHOLD, drift_status, nan_to_null
 from churnspark.operators import stats
 
 # --- Fixed values ------------------------------------------------------------
@@ -45,13 +45,13 @@ def mean_shift(live: DataFrame, num_profile: DataFrame) -> DataFrame:
     """``abs(live_mean - mean) / (std + 1e-9)`` capped at 2.0, rounded to 4;
     features missing from ``live`` are skipped; an all-null live column
     gives a NULL score (not the cap)."""
-    feats = [r[0] for r in num_profile.select("feature").collect()]  # one row per feature
-    feats = [f for f in feats if f in live.columns]
+    feats = [f.name for f in live.schema.fields if isinstance(f.dataType, T.NumericType)]
     if not feats:
         return live.sparkSession.createDataFrame(
             [], "feature string, type string, drift_score double, baseline_mean double, live_mean double")
+    # one aggregate over all numeric columns; the join keeps those of the profile
     lm = stats.mean_std(live, feats).select("feature", F.col("mean").alias("live_mean"))
-    j = lm.join(F.broadcast(num_profile), "feature")
+    j = lm.join(num_profile, "feature")
     shift = F.abs(F.col("live_mean") - F.col("mean")) / (F.col("std") + F.lit(STD_EPSILON))
     return j.select("feature", F.lit("numeric").alias("type"),
                     F.round(_cap(shift), SCORE_DIGITS).alias("drift_score"),
@@ -124,8 +124,9 @@ def numeric_bins(baseline: DataFrame, live: DataFrame, cols: Sequence[str], bins
     """Bin numbers over ``bins`` equal-width baseline bins; ``-1`` below the
     baseline min, ``bins`` above the max.  Returns (baseline, live) long
     ``(feature, bin)`` frames (nulls dropped)."""
-    mm = baseline.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
-                      *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()  # one row
+    known = [nan_to_null(F.col(c).cast("double")) for c in cols]  # NaN is missing, not the greatest value
+    mm = baseline.agg(*[F.min(x).alias(f"lo{i}") for i, x in enumerate(known)],
+                      *[F.max(x).alias(f"hi{i}") for i, x in enumerate(known)]).first()  # one row
 
     def binned(df: DataFrame) -> DataFrame:
         exprs = []

@@ -5,12 +5,10 @@
 * scaler   ``(col_name, mean double, scale double)``
 
 Fitting is an aggregation over the TRAINING rows only (no leakage).
-Applying reads the parameter tables -- one row per column, or one row per
-(column, category) for the encoders -- and turns them into literal column
-expressions, so the transform itself is a narrow, codegen'd projection with
-no join and no shuffle.  Encoders above ``MAX_LITERAL_CODES`` entries are
-applied by an equi-join instead (broadcast decided by Catalyst/AQE from the
-table size).
+Fills and scaler have one row per column and become literal column expressions,
+a narrow, codegen'd projection.  Encoders have one row per (column, category) and
+are applied by an equi-join per column at every size; Catalyst/AQE broadcasts
+the side whose size allows it and splits skewed values otherwise.
 """
 
 from __future__ import annotations
@@ -26,7 +24,6 @@ from churnspark.operators import stats
 
 UNKNOWN = "Unknown"      # fixed value: categorical fill when the column is all-null
 UNSEEN_CODE = -1         # fixed value: code for a category not seen in training
-MAX_LITERAL_CODES = 20000
 
 
 # ----------------------------------------------------------------- null fills
@@ -111,53 +108,31 @@ def label_encode_fit(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     vc = materialize(stats.value_counts(train, cols).select("feature", "value", F.lit(1).alias("__one")),
                      "distinct_values")
     nb = px.adaptive_buckets(train.sparkSession, vc.count())   # parquet footers: cheap
-    b = vc.withColumn("__bk", F.lit(0)) if nb <= 1 else px.range_bucketed(vc, ["feature", "value"], nb)
+    b = px.range_bucketed(vc, ["feature", "value"], nb)
     ranked = px.prefix_sums(b, ["feature"], ["value"], "__bk", ["__one"], prefix="__cum", with_totals=False)
     return ranked.select(F.col("feature").alias("col_name"), "value",
                          F.col("__cum__one").cast("int").alias("code"))
 
 
 def label_encode_apply(df: DataFrame, encoders: DataFrame, cols: Sequence[str] | None = None,
-                       strategy: str = "auto", max_literal: int = MAX_LITERAL_CODES) -> DataFrame:
+                       strategy: str = "join", max_literal: int | None = None) -> DataFrame:
     """Replace each categorical value by its code; unseen or NULL -> -1.
 
-    ``strategy``: ``literal`` (map literal, no join), ``join`` (equi-join
-    per column) or ``auto`` (literal when the dictionary size is at most
-    ``max_literal`` -- at most ``max_literal + 1`` rows are fetched to decide,
-    so nothing unbounded is ever collected).  ``literal`` obeys the same
-    bound: a larger dictionary is applied by the join.
+    One equi-join per column, whatever the dictionary's size.  ``strategy`` and
+    ``max_literal`` are accepted for earlier callers and change nothing.
     """
     if cols is None:
         cols = [r[0] for r in encoders.select("col_name").distinct().collect()]
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    enc = encoders.where(F.col("col_name").isin(cols))
-    if strategy in ("auto", "literal"):
-        # one bounded fetch: at most max_literal + 1 rows ever reach the driver;
-        # a larger dictionary (even when a literal map was asked for) is
-        # applied by the equi-join, which gives the same codes
-        fetched = enc.limit(max_literal + 1).collect()
-        strategy = "literal" if len(fetched) <= max_literal else "join"
-    if strategy == "literal":
-        maps: dict[str, list] = {c: [] for c in cols}
-        for r in fetched:
-            maps[r["col_name"]] += [F.lit(r["value"]), F.lit(int(r["code"]))]
-        exprs = {}
-        for c in cols:
-            m = F.create_map(*maps[c]) if maps[c] else F.create_map().cast("map<string,int>")
-            key = F.col(c).cast("string")
-            exprs[c] = F.when(key.isNull(), F.lit(UNSEEN_CODE)).otherwise(
-                F.coalesce(F.element_at(m, key), F.lit(UNSEEN_CODE))).cast("int")
-        return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
+    code = {c: f"__code{i}" for i, c in enumerate(cols)}
     out = df
-    for c in cols:
-        lk = enc.where(F.col("col_name") == c).select(
-            F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__code_{c}"))
-        out = (out.join(lk, out[c].cast("string") == lk[f"__v_{c}"], "left")
-               .withColumn(c, F.coalesce(F.col(f"__code_{c}"), F.lit(UNSEEN_CODE)).cast("int"))
-               .drop(f"__v_{c}", f"__code_{c}"))
-    return out.select(*df.columns)
+    for i, c in enumerate(cols):
+        lk = encoders.where(F.col("col_name") == c).select(F.col("value").alias(f"__value{i}"), F.col("code").alias(code[c]))
+        out = out.join(lk, F.col(f"`{c}`").cast("string") == F.col(f"__value{i}"), "left")
+    return out.select(*[F.coalesce(code[c], F.lit(UNSEEN_CODE)).cast("int").alias(c) if c in code else F.col(f"`{c}`")
+                        for c in df.columns])
 
 
 # ------------------------------------------------------------ standard scale
@@ -234,7 +209,7 @@ def fit_all(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
 
 
 def apply_all(df: DataFrame, state: FittedState, categorical: Sequence[str], numeric: Sequence[str],
-              strategy: str = "auto") -> DataFrame:
+              strategy: str = "join") -> DataFrame:
     """fills -> codes -> scaling, one narrow projection chain."""
     out = fill_apply(df, state.fills)
     out = label_encode_apply(out, state.encoders, categorical, strategy=strategy)

@@ -98,11 +98,7 @@ def _auc_aggregate(df: DataFrame, label: str, score: str, threshold: float | Non
     # one pass over the input: the per-distinct-score table is written once
     counts = materialize(score_label_counts(df, label, score, group_cols), "score_counts")
     nb = n_buckets or px.adaptive_buckets(df.sparkSession, counts.count())
-    if nb <= 1:
-        b = counts.withColumn("__bk", F.lit(0))
-    else:
-        splits = px.quantile_splits(counts, ["score"], nb)
-        b = px.bucketize(counts, ["score"], splits, ["__bk"])
+    b = px.bucketize(counts, ["score"], px.quantile_splits(counts, ["score"], nb), ["__bk"])
     # global score boundaries are monotone inside every group as well
     pre = px.prefix_sums(b, group_cols, ["score"], "__bk", ["neg"], with_totals=False)
     dec = "decimal(38,0)"

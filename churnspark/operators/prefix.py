@@ -26,32 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MIN_BUCKETS = 16
-MAX_BUCKETS = 8192
-# rows one (group, bucket) window task may sort; at or below it a single
-# bucket is used (a checked, bounded single window partition)
+# rows that one (group, bucket) window task sorts, about
 TARGET_ROWS_PER_BUCKET = 500_000
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """Bucket count follows the configured shuffle parallelism (x4).
-
-    A cluster sized for 100 TB sets ``spark.sql.shuffle.partitions`` in the
-    thousands, which keeps each bucket's sort comfortably inside one task.
-    """
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        n = 200
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, 4 * n))
-
-
 def adaptive_buckets(spark: SparkSession, n_rows: int, target: int | None = None) -> int:
-    """Buckets for ``n_rows`` ordered rows: 1 when they fit one task's sort,
-    else enough for ``target`` rows each, capped by :func:`default_buckets`."""
-    target = target or TARGET_ROWS_PER_BUCKET
-    if n_rows <= target:
-        return 1
-    return min(default_buckets(spark), -(-n_rows // target))
+    """Buckets for ``n_rows`` ordered rows: enough for ``target`` rows each."""
+    return max(MIN_BUCKETS, -(-n_rows // (target or TARGET_ROWS_PER_BUCKET)))
 
 
 def quantile_splits(df: DataFrame, cols: Sequence[str], n_buckets: int,
@@ -71,37 +52,6 @@ def quantile_splits(df: DataFrame, cols: Sequence[str], n_buckets: int,
     return out
 
 
-def grouped_quantile_splits(df: DataFrame, group_col: str, value_col: str, n_buckets: int
-                            ) -> dict[str, list[float]]:
-    """Per-group inner split points (``group -> sorted list``) from one
-    grouped ``percentile_approx``; ``groups x n_buckets`` numbers reach the
-    driver (groups are features: a bounded set)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = int(max(1000, 16 * n_buckets))
-    rows = df.groupBy(group_col).agg(F.percentile_approx(F.col(value_col).cast("double"), probs, acc)
-                                     .alias("q")).collect()
-    return {r[0]: sorted({float(x) for x in (r[1] or []) if x is not None and x == x}) for r in rows}
-
-
-def grouped_bucketize(df: DataFrame, group_col: str, value_col: str, splits: dict[str, list[float]],
-                      out_col: str = "bucket") -> DataFrame:
-    """Bucket = position of the value among its group's split points (binary
-    search, Spark ML ``Bucketizer``), monotone in the value inside each
-    group.  One filtered pass per group (groups are features), unioned."""
-    parts = []
-    for g, pts in splits.items():
-        full = [float("-inf")] + list(pts) + [float("inf")] if pts else [float("-inf"), 0.0, float("inf")]
-        sub = df.where(F.col(group_col) == F.lit(g)).withColumn("__bk_v", F.col(value_col).cast("double"))
-        b = Bucketizer(splits=full, inputCol="__bk_v", outputCol=out_col, handleInvalid="keep")
-        parts.append(b.transform(sub).drop("__bk_v").withColumn(out_col, F.col(out_col).cast("int")))
-    if not parts:
-        return df.withColumn(out_col, F.lit(0))
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
-
-
 def bucketize(df: DataFrame, cols: Sequence[str], splits: Sequence[Sequence[float]],
               out_cols: Sequence[str]) -> DataFrame:
     """Binary-search bucketing on the JVM (Spark ML Bucketizer)."""

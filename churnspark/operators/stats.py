@@ -3,8 +3,8 @@
 Spark's built-in ``percentile``/``mode`` keep one hash map per group and,
 for a global aggregate, merge every task's map into ONE task.  Here both are
 formulated on the ``(feature, value, count)`` table instead: the shuffle is
-keyed by value (spread over all tasks, pre-aggregated map-side), and ordered
-positions come from the bucketed prefix sums in :mod:`.prefix`.
+keyed by value (spread over all tasks, pre-aggregated map-side); medians come
+from brackets that all columns narrow together (:mod:`.quantiles`).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.functions.scalar import nan_to_null
-from churnspark.operators import prefix as px
+from churnspark.operators import quantiles as qt
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], value_type: str = "string",
@@ -49,39 +49,14 @@ def median(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) ->
     """``(feature, median)``: exact, linear interpolation between the two
     middle values, nulls (and NaN) ignored; NULL for an all-null column.
 
-    Distributed, one pass over the input: the ``(feature, value, n)``
-    table of distinct values (map-side combined) is checkpointed; bucket
-    boundaries per feature come from a quantile sketch over that table;
-    running counts come from bucketed prefix sums, and the middle ranks are
-    picked with a grouped aggregate.
+    All columns are narrowed at once (:mod:`.quantiles`); ``n_buckets`` asks
+    for so many brackets of the rows at least.
     """
-    from churnspark.session import materialize
     cols = list(cols)
-    spark = df.sparkSession
-    nb = n_buckets
-    clean = df.select(*[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c)
-                        for c in cols])
-    vc = materialize(value_counts(clean, cols, "double"), "value_counts")
-    if n_buckets is None:
-        nb = px.adaptive_buckets(spark, vc.count())   # parquet footer / cache count: cheap
-    if nb <= 1:
-        b = vc.withColumn("bucket", F.lit(0))
-    else:
-        splits = px.grouped_quantile_splits(vc, "feature", "value", nb)
-        b = px.grouped_bucketize(vc, "feature", "value", splits, "bucket")
-    ranked = px.prefix_sums(b, ["feature"], ["value"], "bucket", ["n"])
-    # 0-based middle ranks k1 <= k2 of the total count
-    k1 = F.floor((F.col("total_n") - 1) / 2)
-    k2 = F.ceil((F.col("total_n") - 1) / 2)
-    lo = F.col("cum_n")
-    hi = F.col("cum_n") + F.col("n")
-    picked = (ranked.where(((lo <= k1) & (k1 < hi)) | ((lo <= k2) & (k2 < hi)))
-              .groupBy("feature")
-              .agg(F.max(F.when((lo <= k1) & (k1 < hi), F.col("value"))).alias("v1"),
-                   F.max(F.when((lo <= k2) & (k2 < hi), F.col("value"))).alias("v2")))
-    feats = spark.createDataFrame([(c,) for c in cols], "feature string")
-    return (feats.join(F.broadcast(picked), "feature", "left")
-            .select("feature", ((F.col("v1") + F.col("v2")) / 2).alias("median")))
+    last = max(1, df.count() // n_buckets) if n_buckets else None
+    found = qt.order_statistics(df, cols, qt.middle_ranks, last)
+    middle = found.groupBy("feature").agg(((F.min("value") + F.max("value")) / 2).alias("median"))
+    return df.sparkSession.createDataFrame([(c,) for c in cols], "feature string").join(middle, "feature", "left")
 
 
 def value_proportions(df: DataFrame, cols: Sequence[str]) -> DataFrame:

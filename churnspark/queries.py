@@ -293,20 +293,20 @@ def label_encode_fit(spark, sf):
     return FE.label_encode_fit(_part_text(spark, sf), PART_CAT)
 
 
-def _part_codes(spark, sf, strategy):
+def _part_codes(spark, sf):
     p = _part_text(spark, sf)
     enc = FE.label_encode_fit(p.where(F.col("p_size").cast("int") <= 40), PART_CAT)
-    return FE.label_encode_apply(p, enc, PART_CAT, strategy=strategy)
+    return FE.label_encode_apply(p, enc, PART_CAT)
 
 
 @q("label_encode_apply")
 def label_encode_apply(spark, sf):
-    return _part_codes(spark, sf, "auto")
+    return _part_codes(spark, sf)
 
 
 @q("join_encoder_lookup")
 def join_encoder_lookup(spark, sf):
-    return _part_codes(spark, sf, "join")
+    return _part_codes(spark, sf)
 
 
 @q("standard_scale_fit")

@@ -89,15 +89,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/churnspark/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for tools that need a plain local path."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover
-        return os.cpu_count() or 8
