@@ -58,7 +58,10 @@ def clean_raw(df: DataFrame, numeric_text: Sequence[str] = ("TotalCharges",), ta
     if target in out.columns:
         out = out.withColumn(target, map_binary(target, positive, negative))
     if key:
-        out = dedup_keep_first(out, [key], order_by or [key])
+        order = [o for o in order_by or [] if not (isinstance(o, str) and o == key)]
+        if not order:
+            raise ValueError("keep-first needs an order other than the key")
+        out = dedup_keep_first(out, [key], order)
     return out
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from churnspark.functions.scalar import DRIFT_THRESHOLD, drift_status, nan_to_null
 from churnspark.operators import stats
+from churnspark.session import materialize
 
 # --- Fixed values ------------------------------------------------------------
 STD_EPSILON = 1e-9     # added to the baseline std in the mean shift
@@ -29,10 +30,11 @@ JS_BINS = 10           # equal-width baseline bins for numeric JS divergence
 def baseline_profile(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
                      ) -> tuple[DataFrame, DataFrame]:
     """``num_profile(feature, mean, std)`` (population std) and
-    ``cat_profile(feature, value, p)``; one pass each."""
+    ``cat_profile(feature, value, p)``; one pass each, written once, so that
+    reports read the profiles and never run the baseline again."""
     num = stats.mean_std(train, numeric).select("feature", "mean", "std")
     cat = stats.value_proportions(train, categorical).select("feature", "value", "p")
-    return num, cat
+    return materialize(num, "num_profile"), materialize(cat, "cat_profile")
 
 
 def _cap(shift: Column) -> Column:
@@ -45,11 +47,11 @@ def mean_shift(live: DataFrame, num_profile: DataFrame) -> DataFrame:
     """``abs(live_mean - mean) / (std + 1e-9)`` capped at 2.0, rounded to 4;
     features missing from ``live`` are skipped; an all-null live column
     gives a NULL score (not the cap)."""
-    feats = [f.name for f in live.schema.fields if isinstance(f.dataType, T.NumericType)]
+    feats = [r[0] for r in num_profile.select("feature").collect()]  # one row per feature of a written profile
+    feats = [f for f in feats if f in live.columns]
     if not feats:
         return live.sparkSession.createDataFrame(
             [], "feature string, type string, drift_score double, baseline_mean double, live_mean double")
-    # one aggregate over all numeric columns; the join keeps those of the profile
     lm = stats.mean_std(live, feats).select("feature", F.col("mean").alias("live_mean"))
     j = lm.join(num_profile, "feature")
     shift = F.abs(F.col("live_mean") - F.col("mean")) / (F.col("std") + F.lit(STD_EPSILON))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnspark.functions.scalar import nan_to_null
 from churnspark.profile import RangeRule
 
 NULL_THRESHOLD = 0.05  # fixed value: violation iff not-nullable and rate > 5 %
@@ -148,13 +149,14 @@ def production_quality(train: DataFrame, live: DataFrame, numeric: Sequence[str]
     numeric = list(numeric)
     categorical = list(categorical)
     # training bounds: one pass, one row
-    bounds = train.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(numeric)],
-                       *[F.max(c).alias(f"hi{i}") for i, c in enumerate(numeric)]).first() if numeric else None
+    value = {c: nan_to_null(F.col(c).cast("double")) for c in numeric}  # NaN is missing, not the greatest value
+    bounds = train.agg(*[F.min(value[c]).alias(f"lo{i}") for i, c in enumerate(numeric)],
+                       *[F.max(value[c]).alias(f"hi{i}") for i, c in enumerate(numeric)]).first() if numeric else None
     rows = []
     n = F.count(F.lit(1))
     aggs = [n.alias("__n")]
     for i, c in enumerate(numeric):
-        col = F.col(c)
+        col = value[c]
         lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
         aggs.append(F.count_if(col.isNull()).alias(f"nz_n{i}"))
         oor = F.lit(False) if lo is None else ((col < F.lit(lo)) | (col > F.lit(hi)))

@@ -75,7 +75,7 @@ def scan_parquet(spark, sf):
 def sink_curated(spark, sf):
     raw = fx.customer_text(spark, sf)
     curated = clean.clean_raw(raw, numeric_text=["acctbal_text"], target="__none", key="customer_id",
-                              order_by=["customer_id"])
+                              order_by=["name", "nation"])
     path = scratch_path(spark, "curated")
     CSV.sink_parquet(curated, path)
     return spark.read.parquet(path).select("customer_id", "name", "nation",
