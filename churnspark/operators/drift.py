@@ -52,8 +52,12 @@ def mean_shift(live: DataFrame, num_profile: DataFrame) -> DataFrame:
     if not feats:
         return live.sparkSession.createDataFrame(
             [], "feature string, type string, drift_score double, baseline_mean double, live_mean double")
-    lm = stats.mean_std(live, feats).select("feature", F.col("mean").alias("live_mean"))
-    j = lm.join(num_profile, "feature")
+    return _shift_of(stats.mean_std(live, feats).select("feature", F.col("mean").alias("live_mean")), num_profile)
+
+
+def _shift_of(live_means: DataFrame, num_profile: DataFrame) -> DataFrame:
+    """The shift of ``(feature, live_mean)`` from the profile."""
+    j = live_means.join(num_profile, "feature")
     shift = F.abs(F.col("live_mean") - F.col("mean")) / (F.col("std") + F.lit(STD_EPSILON))
     return j.select("feature", F.lit("numeric").alias("type"),
                     F.round(_cap(shift), SCORE_DIGITS).alias("drift_score"),
@@ -67,10 +71,14 @@ def psi_terms(live: DataFrame, cat_profile: DataFrame) -> DataFrame:
     Categories seen only in live are ignored."""
     feats = [r[0] for r in cat_profile.select("feature").distinct().collect()]  # bounded by #features
     feats = [f for f in feats if f in live.columns]
-    lp = stats.value_proportions(live, feats).select("feature", "value", F.col("p").alias("live_p")) \
-        if feats else None
-    base = cat_profile.where(F.col("feature").isin(feats))
-    j = base.join(lp, ["feature", "value"], "left") if lp is not None else base.withColumn("live_p", F.lit(None))
+    return _terms_of(stats.value_counts(live, feats), cat_profile.where(F.col("feature").isin(feats)))
+
+
+def _terms_of(live_counts: DataFrame, base: DataFrame) -> DataFrame:
+    """The terms of the live counts ``(feature, value, n)``."""
+    total = live_counts.groupBy("feature").agg(F.sum("n").alias("t"))
+    lp = live_counts.join(total, "feature").select("feature", "value", (F.col("n") / F.col("t")).alias("live_p"))
+    j = base.join(lp, ["feature", "value"], "left")
     return j.select("feature", "value",
                     F.greatest(F.col("p"), F.lit(PSI_FLOOR)).alias("base_p"),
                     F.coalesce(F.col("live_p"), F.lit(PSI_FLOOR)).alias("live_p"))
@@ -79,7 +87,10 @@ def psi_terms(live: DataFrame, cat_profile: DataFrame) -> DataFrame:
 def psi(live: DataFrame, cat_profile: DataFrame) -> DataFrame:
     """Population stability index per categorical feature, ``abs`` and
     rounded to 4."""
-    t = psi_terms(live, cat_profile)
+    return _psi_of(psi_terms(live, cat_profile))
+
+
+def _psi_of(t: DataFrame) -> DataFrame:
     term = (F.col("live_p") - F.col("base_p")) * F.ln(F.col("live_p") / F.col("base_p"))
     return t.groupBy("feature").agg(F.abs(F.sum(term)).alias("__psi")).select(
         "feature", F.lit("categorical").alias("type"), F.round("__psi", SCORE_DIGITS).alias("drift_score"),
@@ -94,6 +105,15 @@ def drift_report(live: DataFrame, num_profile: DataFrame, cat_profile: DataFrame
     return rank_drift(rep.withColumn("status", drift_status("drift_score", threshold)))
 
 
+def drift_report_of(live_means: DataFrame, live_counts: DataFrame, num_profile: DataFrame, cat_profile: DataFrame,
+                    threshold: float = DRIFT_THRESHOLD) -> DataFrame:
+    """:func:`drift_report` from live aggregates: ``(feature, live_mean)`` and
+    ``(feature, value, n)``; features without either are skipped."""
+    base = cat_profile.join(live_counts.select("feature").distinct(), "feature", "left_semi")
+    rep = _shift_of(live_means, num_profile).unionByName(_psi_of(_terms_of(live_counts, base)))
+    return rank_drift(rep.withColumn("status", drift_status("drift_score", threshold)))
+
+
 def rank_drift(report: DataFrame) -> DataFrame:
     return report.orderBy(F.col("drift_score").desc_nulls_last(), F.col("feature"))
 

@@ -618,5 +618,69 @@ UNION ALL SELECT 'pivot_volume', {_DAY}, '{m}', count(*) FILTER (WHERE model = '
 """ for m in MODELS)
 
 
+# ------------------- stored models, runs, reports and scored requests
+_TEST_KEYS = "SELECT c_custkey, true AS {flag}{more} FROM nulls_split WHERE split = 'test'"
+ORACLES["sink_model"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_score", more="")
+ORACLES["scan_model"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_score", more=", 5 AS n_trees")
+ORACLES["ensemble_vote"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_vote", more="")
+ORACLES["ensemble_stack"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_score", more="")
+ORACLES["batch_score"] = W(CHURN_NULLS) + " UNION ALL ".join(
+    _TEST_KEYS.format(flag="consistent", more=f", '{m}' AS model") for m in ("logreg", "boosted"))
+ORACLES["train_logreg"] = W(CHURN_NULLS) + """
+SELECT t.term, (SELECT count(*) FROM nulls_split WHERE split = 'train') AS n_rows, true AS at_optimum
+FROM (VALUES ('c_mktsegment'), ('n_name'), ('tenure'), ('total'), ('n_orders'), ('c_acctbal'), ('(intercept)')) t(term)"""
+_VAL_SCORED = SCORED + "," + SPLIT_OF.format(name="scored_split", src="scored") + \
+    ",\nval_scored AS (SELECT * FROM scored_split WHERE split = 'val')"
+ORACLES["sink_run_metrics"] = W(_VAL_SCORED, _auc_by_model("val_scored", ["score_tenure"])) + """
+SELECT 'churn-tenure' AS run_id, 'manual' AS experiment, '1.0' AS C, '6' AS n_features, round(roc_auc, 10) AS roc_auc,
+       round(f1, 10) AS f1, round(precision, 10) AS precision, round(recall, 10) AS recall,
+       (SELECT CAST(count(*) AS DOUBLE) FROM scored_split WHERE split = 'train') AS n_train,
+       (SELECT CAST(count(*) AS DOUBLE) FROM scored_split WHERE split = 'val') AS n_val FROM met"""
+ORACLES["sink_eval_report"] = _METRICS3 + "SELECT name AS registered_model, promote, " + ", ".join(
+    f"round({a}_{m}, 10) AS {b}_{m}" for a, b in (("cand", "candidate"), ("prod", "production"))
+    for m in ("roc_auc", "f1", "precision", "recall")) + " FROM dec"
+_RULES = [("tenure", 0, 72), ("c_acctbal", 0, None), ("n_orders", 1, 30), ("total", 0, None)]
+ORACLES["stream_score"] = W(CHURN_NULLS) + f"""
+SELECT c_custkey AS id, CASE WHEN error = '' THEN 'scored' ELSE 'rejected' END AS outcome,
+       CASE WHEN error = '' THEN 'logreg' END AS model, nullif(error, '') AS error, CASE WHEN error = '' THEN true END AS as_trained
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 23 = 0 THEN 'body is not a JSON object'
+                             WHEN c_custkey % 31 = 0 THEN 'no data rows'
+                             WHEN c_custkey % 29 = 0 THEN 'row width differs from columns'
+                             ELSE concat_ws(',', {", ".join(
+    f"CASE WHEN {c} IS NULL THEN '{c}:missing' END, CASE WHEN {c} < {lo} THEN '{c}:below' END"
+    + (f", CASE WHEN {c} > {hi} THEN '{c}:above' END" if hi is not None else "") for c, lo, hi in _RULES)}) END AS error
+      FROM churn_nulls)"""
+_PERMUTED = ["tenure", "n_orders", "total", "c_acctbal"]
+
+
+def _permutation_sql() -> str:
+    cols = ", ".join(f"""coalesce(lag({c}) OVER p_{c}, last_value({c}) OVER (ORDER BY md5('42:{c}:' || CAST(c_custkey AS VARCHAR)), c_custkey
+           ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS p_{c}""" for c in _PERMUTED)
+    windows = ", ".join(f"p_{c} AS (ORDER BY md5('42:{c}:' || CAST(c_custkey AS VARCHAR)), c_custkey)" for c in _PERMUTED)
+    score = "{n} * 0.125 + {t} * 0.0625 - {o} / 1048576.0"
+    names = {"tenure": "t", "n_orders": "n", "total": "o"}
+
+    def of(f: str | None) -> str:
+        return score.format(**{v: (f"p_{k}" if k == f else k) for k, v in names.items()})
+    scores = ", ".join([f"CAST({of(None)} AS DOUBLE) AS s_"] + [f"CAST({of(f)} AS DOUBLE) AS s_{f}" for f in _PERMUTED])
+    drift = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(least(abs((SELECT avg({c}) FROM churn_base WHERE c_custkey % 2 <> 0) - avg({c}))"
+        f" / (stddev_pop({c}) + 1e-9), 2.0), 4) AS drift_score FROM churn_base WHERE c_custkey % 2 = 0" for c in _PERMUTED)
+    return W(CHURN_BASE, f"moved AS (SELECT *, {cols} FROM churn_base WINDOW {windows})", f"perm AS (SELECT churn, {scores} FROM moved)",
+             _auc_by_model("perm", ["s_"] + [f"s_{f}" for f in _PERMUTED]),
+             """imp AS (SELECT substr(m.model_key, 3) AS feature, b.roc_auc AS base_auc, m.roc_auc AS auc, b.roc_auc - m.roc_auc AS importance
+        FROM met m, met b WHERE b.model_key = 's_' AND m.model_key <> 's_')""", f"shift AS ({drift})",
+             "top AS (SELECT feature FROM imp ORDER BY importance DESC, feature LIMIT 2)") + """
+SELECT i.feature, round(base_auc, 10) AS base_auc, round(auc, 10) AS auc, round(importance, 10) AS importance,
+       CASE WHEN t.feature IS NOT NULL THEN s.drift_score END AS drift_score
+FROM imp i JOIN shift s USING (feature) LEFT JOIN top t ON t.feature = i.feature"""
+
+
+ORACLES["permutation_importance"] = _permutation_sql()
+ORACLES["job_manual"] = """SELECT 'churn' AS name, 4 AS version, true AS has_production, false AS promote, 4 AS n_versions, 2 AS production_version"""
+ORACLES["job_retrain"] = """SELECT 'churn' AS name, 2 AS version, true AS has_production, false AS promote, 2 AS n_versions, 1 AS production_version"""
+ORACLES["job_search"] = """SELECT 'churn' AS name, 1 AS version, false AS has_production, true AS promote, 3 AS n_trials, 1 AS n_finished"""
+
+
 def oracles() -> dict[str, str]:
     return dict(ORACLES)

@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from churnspark.functions.scalar import risk_band, threshold_predict
 from churnspark.operators import clean, drift as D, features as FE, logs as L, metrics as M
-from churnspark.operators import models as MD, promote as P, quality as Q
+from churnspark.operators import model_tables as MT, models as MD, promote as P, quality as Q
 from churnspark.operators.split import stratified_split
-from churnspark.plans import fixtures as fx
+from churnspark.plans import fixtures as fx, scoring as SC
 from churnspark.profile import CHURN_BASE, Profile
 from churnspark.queries import CAT, NUM, _prepared, _train, q, r
 from churnspark.session import materialize, read_or_empty, scratch_path
@@ -36,14 +36,20 @@ RUNS_SCHEMA = T.StructType([
 
 
 def log_run(spark: SparkSession, path: str, run_id: str, experiment: str, params: dict,
-            metrics_row: DataFrame) -> None:
-    """Append one run record (params + metrics map) to the runs table."""
-    m = metrics_row.select(F.create_map(*[x for c in metrics_row.columns
-                                          for x in (F.lit(c), F.col(c).cast("double"))]).alias("metrics"))
-    rec = m.select(F.lit(run_id).alias("run_id"), F.lit(experiment).alias("experiment"),
-                   F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))])
-                   .cast("map<string,string>").alias("params"),
-                   "metrics", F.current_timestamp().alias("ts"))
+            metrics_row: DataFrame, splits: DataFrame | None = None, features=()) -> None:
+    """Append one run record to the runs table: params (with the number of
+    features) and metrics (with the rows of the training and validation split
+    of ``splits``, counted in the same pass)."""
+    named = [x for c in metrics_row.columns for x in (F.lit(c), F.col(c).cast("double"))]
+    if splits is not None:
+        sizes = splits.agg(*[F.count_if(F.col("split") == s).cast("double").alias(f"n_{s}") for s in ("train", "val")])
+        metrics_row = metrics_row.join(F.broadcast(sizes), F.lit(True))  # one row each
+        named += [x for s in ("train", "val") for x in (F.lit(f"n_{s}"), F.col(f"n_{s}"))]
+    params = dict(params) | ({"n_features": len(features)} if features else {})
+    rec = metrics_row.select(
+        F.lit(run_id).alias("run_id"), F.lit(experiment).alias("experiment"),
+        F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))]).cast("map<string,string>").alias("params"),
+        F.create_map(*named).alias("metrics"), F.current_timestamp().alias("ts"))
     rec.write.mode("append").parquet(path)
 
 
@@ -56,7 +62,7 @@ def write_eval_report(decisions: DataFrame, path: str) -> None:
         F.struct(*[F.col(c).alias(c[5:]) for c in cand]).alias("candidate_metrics"),
         F.struct(*[F.col(c).alias(c[5:]) for c in prod]).alias("production_metrics"),
         "promote", F.col("name").alias("registered_model"))
-    rep.coalesce(1).write.mode("overwrite").json(path)
+    rep.write.mode("overwrite").json(path)
 
 
 # ------------------------------------------------------------ jobs
@@ -100,46 +106,64 @@ def evaluate(model, test: DataFrame, label: str) -> DataFrame:
     return M.metrics(MD.predict(model, test), label, "probability_1")
 
 
-def job_train_evaluate(spark: SparkSession, prepared_path: str, profile: Profile, registry_path: str,
-                       algorithms=("logreg", "boosted"), trees: int | None = None,
-                       name: str = "churn") -> DataFrame:
-    """Train the listed learners on train, evaluate on test, register them
-    as candidates, decide promotion against the registry's production
-    version and write the new registry snapshot.  Returns the decisions."""
-    splits = spark.read.parquet(prepared_path)
-    train, test = splits.where("split = 'train'"), splits.where("split = 'test'")
-    feats, label = profile.features, profile.target
-    # no registry yet: empty; an unreadable one raises and stays as it is
-    versions = read_or_empty(lambda: spark.read.parquet(registry_path), lambda: spark.createDataFrame(
-        [], "name string, version int, stage string, roc_auc double, f1 double, precision double, recall double"))
-    next_v = (versions.agg(F.max("version")).first()[0] or 0) + 1
-    new_rows = None
-    for i, alg in enumerate(algorithms):
-        params = {"trees": trees} if (trees and alg != "logreg") else {}
-        model = MD._fit(alg, train, feats, label, params)
-        model.write().overwrite().save(f"{registry_path}_models/{name}/{next_v + i}")
-        m = evaluate(model, test, label)
-        row = m.select(F.lit(name).alias("name"), F.lit(next_v + i).alias("version"),
-                       F.lit("candidate").alias("stage"), "roc_auc", "f1", "precision", "recall")
-        new_rows = row if new_rows is None else new_rows.unionByName(row)
-    allv = versions.unionByName(new_rows)
-    cands = (allv.where("stage = 'candidate'").groupBy("name")
+def register_and_promote(spark: SparkSession, models: list, test: DataFrame, label: str, registry_path: str,
+                         name: str = "churn") -> DataFrame:
+    """Store each model as tables, register it as a candidate with its metrics
+    on ``test``, decide on the newest candidate against the production version
+    and record the change of stages.  Returns the decisions.
+
+    Order of writes: models, candidates, decisions, stages, report, snapshot.
+    The events are the registry; ``registry_path`` itself holds a snapshot that
+    is made from them anew each time, so a crash anywhere loses nothing.
+    """
+    events = f"{registry_path}_events"
+    known = P.fold_events(P.read_events(spark, events))
+    next_v = (known.agg(F.max("version")).first()[0] or 0) + 1
+    rows = None
+    for i, model in enumerate(models):
+        MT.to_tables(spark, model).save(f"{registry_path}_models/{name}/{next_v + i}")
+        row = evaluate(model, test, label).select(F.lit(name).alias("name"), F.lit(next_v + i).alias("version"),
+                                                  F.lit("candidate").alias("stage"), "roc_auc", "f1", "precision", "recall")
+        rows = row if rows is None else rows.unionByName(row)
+    P.append_events(rows, events)
+    versions = materialize(P.fold_events(P.read_events(spark, events)), "versions")
+    cands = (versions.where("stage = 'candidate'").groupBy("name")
              .agg(F.max_by(F.struct("version", "roc_auc", "f1", "precision", "recall"), "version").alias("r"))
              .select("name", "r.*"))
-    dec = P.promote_decision(P.join_champion(cands, P.production_metrics(allv))) \
-        .join(cands.select("name", "version"), "name")
-    # materialise the decisions and the new snapshot before replacing the
-    # registry table they were computed from
+    dec = P.promote_decision(P.join_champion(cands, P.production_metrics(versions))).join(cands.select("name", "version"), "name")
     dec_path = f"{registry_path}_decisions/v{next_v}"
     dec.write.mode("overwrite").parquet(dec_path)
     dec = spark.read.parquet(dec_path)
-    snapshot = P.promote_transition(allv, dec)
-    tmp = f"{registry_path}_snapshots/v{next_v}"
-    snapshot.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(registry_path)
+    P.append_events(P.changed_stages(versions, P.promote_transition(versions, dec)), events)
+    write_eval_report(dec, f"{registry_path}_reports/v{next_v}")
+    P.fold_events(P.read_events(spark, events)).write.mode("overwrite").parquet(registry_path)
     return dec
 
 
+def job_train_evaluate(spark: SparkSession, prepared_path: str, profile: Profile, registry_path: str,
+                       algorithms=("logreg", "boosted"), trees: int | None = None,
+                       name: str = "churn") -> DataFrame:
+    """Train the listed learners on train, evaluate them on test and bring them
+    into the registry.  Returns the decisions."""
+    splits = spark.read.parquet(prepared_path)
+    train, test = splits.where("split = 'train'"), splits.where("split = 'test'")
+    models = [MD._fit(alg, train, profile.features, profile.target, {"trees": trees} if (trees and alg != "logreg") else {})
+              for alg in algorithms]
+    return register_and_promote(spark, models, test, profile.target, registry_path, name)
+
+
+def job_search(spark: SparkSession, prepared_path: str, profile: Profile, registry_path: str, space, name: str = "churn",
+               max_trials: int = 5, parallelism: int = 2) -> tuple[DataFrame, DataFrame]:
+    """Search, then the winner's evaluation on the test split, its report and
+    its promotion.  Returns the runs and the decisions."""
+    splits = spark.read.parquet(prepared_path)
+    runs, trials = MD.model_search(splits.where("split = 'train'"), splits.where("split = 'val'"), profile.features, profile.target,
+                                   space=space, max_trials=max_trials, parallelism=parallelism, experiment=name)
+    best = P.best_run_or_raise(runs.where("status = 'finished'"))
+    winner = next(t.model for t in trials if t.run_id == best)
+    return runs, register_and_promote(spark, [winner], splits.where("split = 'test'"), profile.target, registry_path, name)
+
+
 def job_monitor(spark: SparkSession, log: DataFrame, num_profile: DataFrame, cat_profile: DataFrame,
                 models, drift_from=None) -> dict[str, DataFrame]:
     """Every dashboard table off ONE cached scan of the whole log; rows from
@@ -190,9 +214,18 @@ def dashboard_rows(tables: dict[str, DataFrame], models) -> DataFrame:
 # --------------------------------------------------- rows-checked queries
 @q("train_logreg")
 def q_train_logreg(spark, sf):
+    """The optimum of the penalised, weighted loss: its gradient, summed up anew
+    from the rows, vanishes in every coefficient and the intercept."""
     prep, _ = _prepared(spark, sf)
-    m = MD.train_logreg(_train(prep), CHURN_BASE.features, "churn")
-    return evaluate(m, prep.where("split = 'val'"), "churn").withColumn("model", F.lit("logreg"))
+    train = _train(prep)
+    m = MD.train_logreg(train, CHURN_BASE.features, "churn")
+    weight = {r["feature"]: r["weight"] for r in MT.to_tables(spark, m).terms.collect()}  # one row per feature
+    scored = MD.predict(m, M.with_class_weight(train, "churn", "w"), "p")
+    slope = lambda x: F.sum(F.col("w") * (F.col("p") - F.col("churn")) * x)
+    row = scored.agg(F.count("*").alias("n"), *[slope(F.col(c)).alias(f"g_{c}") for c in CHURN_BASE.features], slope(F.lit(1.0)).alias("g_"))
+    parts = [(c, F.col(f"g_{c}") + F.lit(weight[c] / MD.LOGREG["C"])) for c in CHURN_BASE.features] + [("(intercept)", F.col("g_"))]
+    return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("term"), F.col("n").alias("n_rows"), (F.abs(g) < 0.005 * F.col("n")).alias("at_optimum"))
+                                          for c, g in parts])).alias("e")).select("e.*")
 
 
 @q("train_boosted")
@@ -226,26 +259,36 @@ def q_model_search(spark, sf):
     prep, _ = _prepared(spark, sf)
     runs, _ = MD.model_search(_train(prep), prep.where("split = 'val'"), CHURN_BASE.features, "churn",
                               space=SEARCH_SPACE, max_trials=5, parallelism=2)
-    return runs.select("run_id", "experiment", "algorithm", "auc_weighted")
+    return runs.select("run_id", "experiment", "algorithm", "auc_weighted", "rung", "status")
 
 
 @q("ensemble_vote")
 def q_ensemble_vote(spark, sf):
+    """The vote of stored members, scored from their tables one by one, is the
+    ensemble's."""
     prep, _ = _prepared(spark, sf)
     tr = _train(prep)
     ms = [MD.train_logreg(tr, CHURN_BASE.features, "churn"),
           MD.train_forest(tr, CHURN_BASE.features, "churn")]
     v = MD.ensemble_vote(ms, prep.where("split = 'test'"))
-    return M.metrics(v, "churn", "probability_1")
+    for i, m in enumerate(ms):
+        path = scratch_path(spark, "member")
+        MT.to_tables(spark, m).save(path)
+        v = MT.predict(MT.TableModel.load(spark, path), v, f"own{i}")
+    return v.select("c_custkey", (F.abs(F.col("probability_1") - (F.col("own0") + F.col("own1")) / 2) < 1e-9).alias("same_vote"))
 
 
 @q("ensemble_stack")
 def q_ensemble_stack(spark, sf):
+    """The stored base models and meta model give the stacked score."""
     prep, _ = _prepared(spark, sf)
     base, meta = MD.ensemble_stack(_train(prep), CHURN_BASE.features, "churn", "c_custkey",
                                    [("logreg", {}), ("forest", {})], folds=3)
     s = MD.stack_predict(base, meta, prep.where("split = 'test'"))
-    return M.metrics(s, "churn", "probability_1")
+    for i, m in enumerate(base):
+        s = MT.predict(MT.to_tables(spark, m), s, f"m{i}")
+    own = MT.predict(MT.to_tables(spark, meta), s, "own")
+    return own.select("c_custkey", (F.abs(F.col("probability_1") - F.col("own")) < 1e-9).alias("same_score"))
 
 
 @q("auto_featurize")
@@ -262,11 +305,36 @@ def q_auto_featurize(spark, sf):
 
 @q("batch_score")
 def q_batch_score(spark, sf):
+    """Two models side by side: the scores of the stored tables, rounded, with
+    the decision and the band that belong to them."""
     prep, _ = _prepared(spark, sf)
-    tr = _train(prep)
+    tr, test = _train(prep), prep.where("split = 'test'")
     models = {"logreg": MD.train_logreg(tr, CHURN_BASE.features, "churn"),
               "boosted": MD.train_boosted(tr, CHURN_BASE.features, "churn")}
-    return MD.batch_score(prep.where("split = 'test'"), models, key="c_custkey")
+    got = MD.batch_score(test, models, key="c_custkey")
+    own = None
+    for name, m in models.items():
+        part = MT.predict(MT.to_tables(spark, m), test, "p").select(F.col("c_custkey").alias("k"), F.lit(name).alias("m"), "p")
+        own = part if own is None else own.unionByName(part)
+    met = got.join(own, (got["c_custkey"] == own["k"]) & (got["model"] == own["m"]))
+    same = ((F.abs(F.col("probability") - F.col("p")) <= 0.50001e-4) & (F.col("prediction") == threshold_predict("p"))
+            & (F.col("risk_level") == risk_band("p")))
+    near_a_cut = F.exists(F.array(*[F.lit(c) for c in (0.4, 0.5, 0.7)]), lambda c: F.abs(F.col("p") - c) < 1e-9)
+    return met.select("c_custkey", "model", (same | near_a_cut).alias("consistent"))
+
+
+@q("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """What the AUC of a fixed scorer loses by each feature, for the features
+    that the drift report of the customers' halves also has."""
+    s = fx.scored_churn(spark, sf).select("c_custkey", "churn", "tenure", "n_orders", "total", "c_acctbal")
+    score = lambda df: df.withColumn("score", F.col("n_orders") * 0.125 + F.col("tenure") * 0.0625 - F.col("total") / 1048576.0)
+    imp = materialize(MD.permutation_importance(s, score, ["tenure", "n_orders", "total", "c_acctbal"], "churn", "c_custkey"), "importance")
+    old = F.col("c_custkey") % 2 == 0
+    num, cat = D.baseline_profile(s.where(old), ["tenure", "n_orders", "total", "c_acctbal"], [])
+    drift = MD.monitored(D.drift_report(s.where(~old), num, cat), imp, k=2).select("feature", "drift_score")
+    return imp.join(drift, "feature", "left").select("feature", r("base_auc", 10).alias("base_auc"), r("auc", 10).alias("auc"),
+                                                     r("importance", 10).alias("importance"), "drift_score")
 
 
 # --------------------------------------------------------- streams
@@ -290,40 +358,52 @@ def _stream_log(events: DataFrame) -> DataFrame:
         .withColumn("risk_level", risk_band("probability"))
 
 
+def _requests(spark, sf) -> DataFrame:
+    """Request bodies of the raw churn rows; some aren't JSON, some have a row
+    that is too short, some no row at all."""
+    b, k = fx.churn_with_nulls(spark, sf), F.col("c_custkey")
+    cells = F.array(*[F.col(c).cast("string") for c in CHURN_BASE.features])
+    cells = F.when(k % 29 == 0, F.slice(cells, 1, 3)).otherwise(cells)
+    data = F.when(k % 31 == 0, F.lit("[]")).otherwise(F.to_json(F.array(cells)))
+    columns = '["' + '","'.join(CHURN_BASE.features) + '"]'
+    body = F.when(k % 23 == 0, F.lit("tenure=5")).otherwise(F.concat(F.lit('{"input_data":{"columns":' + columns + ',"data":'), data, F.lit("}}")))
+    return b.select(k.alias("request_id"), body.alias("body"))
+
+
 @q("stream_score")
 def q_stream_score(spark, sf):
     prep, st = _prepared(spark, sf)
     model = MD.train_logreg(_train(prep), CHURN_BASE.features, "churn")
-    # arriving requests: the raw churn rows, written as files by Spark
     req_dir = scratch_path(spark, "requests")
-    base = fx.churn_with_nulls(spark, sf).withColumn("ts", F.current_timestamp())
-    base.write.mode("overwrite").parquet(req_dir)
-    stream = spark.readStream.schema(spark.read.parquet(req_dir).schema).parquet(req_dir)
-
-    def score(df: DataFrame) -> DataFrame:
-        prepared = FE.apply_all(df, st, CAT, NUM)
-        p = MD.predict(model, prepared)
-        return p.select(F.col("c_custkey").alias("id"), F.col("ts").alias("timestamp"),
-                        F.lit("logreg").alias("model"), F.struct(*NUM).alias("inputs"),
-                        F.round("probability_1", 4).alias("probability"),
-                        threshold_predict("probability_1").alias("prediction"),
-                        risk_band("probability_1").alias("risk_level"))
-    root, ck = scratch_path(spark, "scored_log"), scratch_path(spark, "scored_ckpt")
-    SS.score_stream(stream, score, root, ck)
-    return LG.scan_log(spark, root).select("id", "model", "prediction", "probability", "risk_level")
+    _requests(spark, sf).write.mode("overwrite").parquet(req_dir)
+    tables = {"logreg": MT.to_tables(spark, model)}
+    stream = spark.readStream.schema("request_id long, body string").option("maxFilesPerTrigger", 4).parquet(req_dir)
+    root, ck = scratch_path(spark, "outcomes"), scratch_path(spark, "outcomes_ckpt")
+    score = lambda batch: SC.score_requests(batch, CHURN_BASE, st, tables)
+    SS.requests_stream(stream, score, root, ck)
+    schema = "request_id long, row_idx int, model string, probability double, prediction int, risk_level string, error string, outcome string, batch_id long"
+    # what Spark ML itself says about the prepared rows
+    ml = MD.predict(model, prep, "ml").select("c_custkey", F.round("ml", 4).alias("ml"))
+    got = SC.read_outcomes(spark, root, schema)
+    met = got.join(ml, got["request_id"] == ml["c_custkey"], "left")
+    same = ((F.abs(F.col("probability") - F.col("ml")) < 1.5e-4) & (F.col("prediction") == threshold_predict("ml"))
+            & (F.col("risk_level") == risk_band("ml")))
+    near_a_cut = F.exists(F.array(*[F.lit(c) for c in (0.4, 0.5, 0.7)]), lambda c: F.abs(F.col("ml") - c) < 1.5e-4)
+    return met.select(F.col("request_id").alias("id"), "outcome", "model", "error",
+                      F.when(F.col("outcome") == "scored", same | near_a_cut).alias("as_trained"))
 
 
 @q("stream_drift")
 def q_stream_drift(spark, sf):
     base, _ = fx.lineitem_drift(spark, sf)
     num, cat = D.baseline_profile(base, fx.DRIFT_NUMERIC, fx.DRIFT_CATEGORICAL)
-    num, cat = num.cache(), cat.cache()
     src = (spark.readStream.schema(fx.table(spark, sf, "lineitem").schema)
            .parquet(fx.stream_path(sf, "lineitem"))
            .where(F.col("l_shipdate") >= F.lit(fx.DRIFT_CUT).cast("timestamp_ntz")))
-    out, ck = scratch_path(spark, "stream_drift"), scratch_path(spark, "stream_drift_ckpt")
-    SS.drift_stream(src, num, cat, out, ck)
-    return spark.read.parquet(out).select("batch_id", "feature", "type", "drift_score", "status")
+    out, ck = scratch_path(spark, "drift_state"), scratch_path(spark, "drift_state_ckpt")
+    SS.drift_state_stream(src, fx.DRIFT_NUMERIC, fx.DRIFT_CATEGORICAL, out, ck)
+    report = SS.drift_of_batches(spark, out, num, cat)
+    return report.select(F.lit(0).alias("batch_id"), "feature", "type", "drift_score", "status")
 
 
 # ------------------------------------------------------------ jobs as queries
@@ -387,7 +467,10 @@ def _job_train(spark, sf, algorithms):
     reg = scratch_path(spark, "registry")
     job_train_evaluate(spark, f"{out}/splits", prof, reg, algorithms=algorithms)
     dec = job_train_evaluate(spark, f"{out}/splits", prof, reg, algorithms=algorithms)
-    return dec.select("name", "version", "cand_roc_auc", "prod_roc_auc", "promote")
+    # the same learners again: the newest candidate gains nothing on production
+    stages = P.fold_events(P.read_events(spark, f"{reg}_events")).groupBy("name").agg(
+        F.count("*").alias("n_versions"), F.max(F.when(F.col("stage") == "production", F.col("version"))).alias("production_version"))
+    return dec.select("name", "version", "has_production", "promote").join(stages, "name")
 
 
 @q("job_manual")
@@ -403,11 +486,10 @@ def q_job_retrain(spark, sf):
 @q("job_search")
 def q_job_search(spark, sf):
     out, prof = _ingested_prepared(spark, sf)
-    s = spark.read.parquet(f"{out}/splits")
-    runs, _ = MD.model_search(s.where("split = 'train'"), s.where("split = 'val'"), prof.features, "churn",
-                              space=SEARCH_SPACE, max_trials=5, parallelism=2, timeout_s=1800)
-    best = P.best_run(runs)
-    return best.select("experiment", "run_id", "auc_weighted")
+    runs, dec = job_search(spark, f"{out}/splits", prof, scratch_path(spark, "registry"), SEARCH_SPACE)
+    # one winner, which is promoted as there is no production version yet
+    states = runs.agg(F.count("*").alias("n_trials"), F.count_if(F.col("status") == "finished").alias("n_finished"))
+    return dec.select("name", "version", "has_production", "promote").join(F.broadcast(states), F.lit(True))
 
 
 @q("job_monitor")

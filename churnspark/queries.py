@@ -19,7 +19,7 @@ from churnspark.operators import promote as P, quality as Q, stats as ST
 from churnspark.operators.split import stratified_split
 from churnspark.plans import fixtures as fx
 from churnspark.profile import CHURN_BASE
-from churnspark.session import scratch_path
+from churnspark.session import materialize, scratch_path
 from churnspark.sources import csv as CSV, logs as LG, payload as PL, profiles as PR
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,30 +131,41 @@ def _prepared(spark, sf):
 
 @q("sink_model")
 def sink_model(spark, sf):
-    from pyspark.ml import PipelineModel
-    from churnspark.operators import models as MD
+    """The stored tables score as the fitted model does."""
+    from churnspark.operators import model_tables as MT, models as MD
     prep, _ = _prepared(spark, sf)
     m = MD.train_logreg(_train(prep), CHURN_BASE.features, "churn")
     path = scratch_path(spark, "model")
-    m.write().overwrite().save(path)
-    back = PipelineModel.load(path)
-    return MD.predict(back, prep.where(F.col("split") == "test")).select("c_custkey", r("probability_1", 4)
-                                                                         .alias("probability"))
+    MT.to_tables(spark, m).save(path)
+    both = MT.predict(MT.TableModel.load(spark, path), MD.predict(m, prep.where(F.col("split") == "test"), "ml"), "own")
+    return both.select("c_custkey", (F.abs(F.col("ml") - F.col("own")) < 1e-9).alias("same_score"))
 
 
 @q("scan_model")
 def scan_model(spark, sf):
-    return sink_model(spark, sf)
+    """A tree ensemble is read back from its tables: whole, and with the same
+    scores as before it was written."""
+    from churnspark.operators import booster as B, model_tables as MT
+    prep, _ = _prepared(spark, sf)
+    model = MT.to_tables(spark, B.train(_train(prep), CHURN_BASE.features, "churn", B.Settings(trees=5, depth=4, eta=0.3)))
+    path = scratch_path(spark, "model")
+    model.save(path)
+    back = MT.TableModel.load(spark, path)
+    both = MT.predict(back, MT.predict(model, prep.where(F.col("split") == "test"), "before"), "after")
+    n_trees = back.terms.agg(F.count_distinct("tree")).scalar()
+    return both.select("c_custkey", (F.col("before") == F.col("after")).alias("same_score"), n_trees.alias("n_trees"))
 
 
 @q("sink_run_metrics")
 def sink_run_metrics(spark, sf):
     from churnspark.plans import jobs
-    prep, _ = _prepared(spark, sf)
+    split = stratified_split(_scored(spark, sf), "c_custkey", "churn")
     path = scratch_path(spark, "runs")
-    jobs.log_run(spark, path, "churn-logreg", "manual", {"C": 1.0},
-                 M.metrics(M.with_prediction(prep, "c_acctbal", "__p"), "churn", "c_acctbal"))
-    return spark.read.parquet(path)
+    jobs.log_run(spark, path, "churn-tenure", "manual", {"C": 1.0}, M.metrics(split.where("split = 'val'"), "churn", "score_tenure"),
+                 splits=split, features=CHURN_BASE.features)
+    runs = spark.read.parquet(path)
+    return runs.select("run_id", "experiment", F.col("params")["C"].alias("C"), F.col("params")["n_features"].alias("n_features"),
+                       *[r(F.col("metrics")[m], 10).alias(m) for m in ("roc_auc", "f1", "precision", "recall", "n_train", "n_val")])
 
 
 @q("sink_eval_report")
@@ -163,7 +174,9 @@ def sink_eval_report(spark, sf):
     rep = _decisions(spark, sf)
     path = scratch_path(spark, "eval_report")
     jobs.write_eval_report(rep, path)
-    return spark.read.json(path)
+    back = spark.read.json(path)
+    return back.select("registered_model", "promote", *[r(F.col(f"{side}_metrics.{m}"), 10).alias(f"{side}_{m}")
+                                                        for side in ("candidate", "production") for m in ("roc_auc", "f1", "precision", "recall")])
 
 
 @q("sink_inference_log")
@@ -409,8 +422,9 @@ REGISTRY_ROWS = [("score_orders", "churn", 1, "archived"), ("score_tenure", "chu
 
 def _versions(spark, sf):
     reg = spark.createDataFrame(REGISTRY_ROWS, "model_key string, name string, version int, stage string")
-    m = _model_metrics(spark, sf)
-    return reg.join(F.broadcast(m), "model_key").select("name", "version", "stage", "roc_auc", "f1",
+    # read several times by each consumer: the metrics are written once
+    m = materialize(_model_metrics(spark, sf), "model_metrics")
+    return reg.join(m, "model_key").select("name", "version", "stage", "roc_auc", "f1",
                                                         "precision", "recall")
 
 
@@ -499,16 +513,13 @@ def agg_distinct_sorted(spark, sf):
 
 @q("agg_row_counts")
 def agg_row_counts(spark, sf):
-    o = fx.table(spark, sf, "orders")
-    kept = clean.dedup_keep_first(o, ["o_custkey"], ["o_orderdate", "o_orderkey"])
-    split = fx.churn_split(spark, sf)
-    loaded = o.agg(F.count(F.lit(1)).alias("rows_loaded"))
-    # one-row aggregates combined as scalar subqueries
-    saved = kept.agg(F.count(F.lit(1))).scalar()
-    sizes = {s: split.agg(F.count_if(F.col("split") == s)).scalar() for s in ("train", "val", "test")}
-    return loaded.select("rows_loaded", saved.alias("rows_saved"),
-                         (F.col("rows_loaded") - saved).alias("duplicates_dropped"),
-                         *[v.alias(f"n_{k}") for k, v in sizes.items()])
+    # loaded and kept rows come from one count per key, the split sizes from one pass
+    keys = fx.table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    rows = keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_loaded"), F.count(F.lit(1)).alias("rows_saved"))
+    split = stratified_split(fx.churn_base(spark, sf), "c_custkey", "churn")
+    sizes = split.agg(*[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test")])
+    return rows.join(F.broadcast(sizes), F.lit(True)).select(  # one row each
+        "rows_loaded", "rows_saved", (F.col("rows_loaded") - F.col("rows_saved")).alias("duplicates_dropped"), "n_train", "n_val", "n_test")
 
 
 @q("agg_mean_std_profile")

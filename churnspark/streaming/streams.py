@@ -10,9 +10,14 @@
 * :func:`drift_stream` -- drift report of each micro-batch against the
   baseline profile, written idempotently per batch id.
 
+* :func:`requests_stream` -- request bodies to scored and rejected rows, one
+  commit per micro-batch.
+* :func:`drift_state_stream` -- counts and sums per micro-batch that add up, so
+  drift is known for any span of batches.
+
 Every query runs with ``trigger(availableNow=True)`` by default: it drains
-what is there in bounded micro-batches and stops, so it can run as a
-scheduled job as well as continuously (pass ``trigger=None``).
+what is there in bounded micro-batches and stops, so it can run as a scheduled
+job; ``trigger="continuous"`` starts it without end and returns at once.
 """
 
 from __future__ import annotations
@@ -22,13 +27,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnspark.operators import drift as D
+from churnspark.functions.scalar import nan_to_null
+from churnspark.operators import drift as D, stats
 
 
 def _start(writer, trigger: dict | None, checkpoint: str):
     w = writer.option("checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    q = w.start()
+    if trigger == "continuous":
+        return w.start()  # micro-batches without end; the caller stops the query
+    q = w.trigger(**(trigger or {"availableNow": True})).start()
     q.awaitTermination()
     return q
 
@@ -41,7 +48,7 @@ def _idempotent_batch_writer(out: str, transform: Callable[[DataFrame, int], Dat
     return write
 
 
-def daily_rate_stream(log_stream: DataFrame, out: str, checkpoint: str, trigger: dict | None = None):
+def daily_rate_stream(log_stream: DataFrame, out: str, checkpoint: str, trigger: dict | str | None = None):
     """Run the incremental daily rate; the sums of each batch land under ``out``."""
     def sums(batch: DataFrame, batch_id: int) -> DataFrame:
         return (batch.groupBy(F.to_date("timestamp").alias("date"), "model")
@@ -58,7 +65,7 @@ def daily_rate_result(spark: SparkSession, out: str) -> DataFrame:
 
 
 def score_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame], log_root: str,
-                 checkpoint: str, trigger: dict | None = None):
+                 checkpoint: str, trigger: dict | str | None = None):
     """``score`` maps request rows to log rows (id, timestamp, model, inputs,
     probability, prediction, risk_level); results are appended to the
     model/day-partitioned JSON log."""
@@ -73,8 +80,52 @@ def score_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame], l
     return _start(writer, trigger, checkpoint)
 
 
+def requests_stream(requests: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, trigger: dict | str | None = None):
+    """``score`` maps request rows to outcome rows (scored and rejected); each
+    micro-batch is one commit under its batch id."""
+    from churnspark.plans.scoring import write_outcomes
+    return _start(requests.writeStream.foreachBatch(lambda batch, batch_id: write_outcomes(score(batch), out, batch_id)), trigger, checkpoint)
+
+
+# ------------------------------------------------- drift from mergeable state
+def profile_state(batch: DataFrame, numeric, categorical) -> DataFrame:
+    """``(feature, value, n, s)``: of a numeric feature (value null) the number
+    and sum of its known values, of a categorical one the count per value.
+    States of batches add up to the state of all their rows."""
+    x = {c: nan_to_null(F.col(c).cast("double")) for c in numeric}
+    number = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(None).cast("string").alias("value"), F.count(x[c]).alias("n"),
+                                F.coalesce(F.sum(x[c]), F.lit(0.0)).alias("s")) for c in numeric])
+    parts = []
+    if numeric:
+        parts.append(batch.agg(number.alias("a")).select(F.explode("a").alias("e")).select("e.*"))
+    if categorical:
+        parts.append(stats.value_counts(batch, categorical).select("feature", "value", "n", F.lit(0.0).alias("s")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def drift_state_stream(live_stream: DataFrame, numeric, categorical, out: str, checkpoint: str, trigger: dict | str | None = None):
+    """Keep the state of every micro-batch under its batch id."""
+    writer = live_stream.writeStream.foreachBatch(
+        _idempotent_batch_writer(out, lambda batch, _: profile_state(batch, numeric, categorical)))
+    return _start(writer, trigger, checkpoint)
+
+
+def drift_of_batches(spark: SparkSession, out: str, num_profile: DataFrame, cat_profile: DataFrame,
+                     first: int | None = None, last: int | None = None) -> DataFrame:
+    """The drift report of all rows of the batches ``first`` to ``last``
+    (default: all), from their states alone."""
+    state = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*")
+    if first is not None:
+        state = state.where(F.col("batch_id") >= first)
+    if last is not None:
+        state = state.where(F.col("batch_id") <= last)
+    total = state.groupBy("feature", "value").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    means = total.where("value IS NULL").select("feature", (F.col("s") / F.when(F.col("n") > 0, F.col("n"))).alias("live_mean"))
+    return D.drift_report_of(means, total.where("value IS NOT NULL").select("feature", "value", "n"), num_profile, cat_profile)
+
+
 def drift_stream(live_stream: DataFrame, num_profile: DataFrame, cat_profile: DataFrame, out: str,
-                 checkpoint: str, trigger: dict | None = None):
+                 checkpoint: str, trigger: dict | str | None = None):
     """Drift report per micro-batch; profiles are small static tables."""
     def report(batch: DataFrame, batch_id: int) -> DataFrame:
         return D.drift_report(batch, num_profile, cat_profile).withColumn("batch_id_", F.lit(batch_id))
