@@ -2,7 +2,8 @@
 
 Every tree is grown level by level.  A level is ONE Spark aggregate: sums of
 gradient and hessian by (node, feature, bin) over the sampled rows, added up
-map-side.  At most 2^level x features x bins sums reach the driver -- the size of
+map-side.  Nodes of at most ``LOCAL_ROWS`` rows are finished together in one
+more job, a task for each, by the same rule from the same whole numbers.  At most 2^level x features x bins sums reach the driver -- the size of
 the tree, not of the data -- where each node's split is chosen:
 
     gain = (GL^2/(HL+l) + GR^2/(HR+l) - G^2/(H+l)) / 2 - gamma
@@ -31,18 +32,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.operators import quantiles as qt
-from churnspark.session import materialize
+from churnspark.session import materialize, ship_package
 
 #: Gradients and hessians are counted in units of 1 / UNIT.
 UNIT = 1 << 20
 #: Trees between two written tables.
 KEEP = 25
+#: Rows of a node that one task may finish.
+LOCAL_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -124,28 +128,32 @@ def constant(values: dict[str, list], schema: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), schema)
 
 
-def _walked(rows: DataFrame, tree: Tree, levels: int) -> DataFrame:
-    """``rows`` with the node that each reaches after so many levels (a leaf
-    keeps its rows)."""
-    t = constant({"f": tree.feature, "c": tree.cut}, "f array<int>, c array<int>")
-    n = F.col("node")
-    right = (F.get("x", F.greatest(F.get(t["f"], n), F.lit(0))) >= F.get(t["c"], n)).cast("int")
-    step = F.when(F.get(t["f"], n) < 0, n).otherwise(2 * n + 1 + right)
-    out = rows.select("*", F.lit(0).alias("node"))
-    for _ in range(levels):
-        out = out.withColumn("node", step)
-    return out
+def _node(tree: Tree, levels: int) -> str:
+    """SQL of the node that a row reaches after so many levels (a leaf keeps its
+    rows).  One fold, so that no optimizer rule can copy a level's expression
+    into the next; text, as thousands of small plans are made."""
+    if not levels:
+        return "0"
+    t = f"from_json('{json.dumps({'f': tree.feature, 'c': tree.cut})}', 'f array<int>, c array<int>')"
+    f = f"get({t}.f, n)"
+    return (f"aggregate(sequence(1, {levels}), 0, (n, i) -> CASE WHEN {f} < 0 THEN n "
+            f"ELSE 2 * n + 1 + CAST(get(x, greatest({f}, 0)) >= get({t}.c, n) AS INT) END)")
+
+
+def _gradients(rows: DataFrame, tree: Tree, level: int, s: Settings, number: int, nodes: Sequence[int]) -> DataFrame:
+    """(node, x, g, h) of the sampled rows in the given nodes."""
+    return (rows.where(f"pmod(xxhash64(k, {number}, {s.seed}), {UNIT}) < {int(s.subsample * UNIT)}")
+            .selectExpr("y", "w", "x", "1 / (1 + exp(-m)) AS p", f"{_node(tree, level)} AS node")
+            .where(f"node IN ({', '.join(map(str, nodes))})")
+            .selectExpr("node", "x", f"CAST(round((p - y) * w * {UNIT}) AS LONG) AS g", f"CAST(round(p * (1 - p) * w * {UNIT}) AS LONG) AS h"))
 
 
-def histogram(rows: DataFrame, tree: Tree, level: int, s: Settings, number: int, columns: Sequence[int]) -> DataFrame:
-    """(node, f, b, g, h): sums over the sampled rows of the level's nodes."""
-    p = 1 / (1 + F.exp(-F.col("m")))
-    whole = lambda v: F.round(v * UNIT).cast("long")
-    drawn = F.pmod(F.xxhash64("k", F.lit(number), F.lit(s.seed)), F.lit(UNIT)) < F.lit(int(s.subsample * UNIT))
-    taken = _walked(rows.where(drawn), tree, level).where(F.col("node") >= F.lit(2 ** level - 1))
-    return (taken.select("node", whole((p - F.col("y")) * F.col("w")).alias("g"), whole(p * (1 - p) * F.col("w")).alias("h"),
-                         F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.get("x", F.lit(f)).alias("b")) for f in columns])).alias("e"))
-            .groupBy("node", "e.f", "e.b").agg(F.sum("g").alias("g"), F.sum("h").alias("h")))
+def histogram(rows: DataFrame, tree: Tree, level: int, s: Settings, number: int, nodes: Sequence[int],
+              columns: Sequence[int]) -> DataFrame:
+    """(node, f, b, g, h, n): sums over the sampled rows of the nodes."""
+    bins = ", ".join(f"named_struct('f', {f}, 'b', get(x, {f}))" for f in columns)
+    return (_gradients(rows, tree, level, s, number, nodes).selectExpr("node", "g", "h", f"explode(array({bins})) AS e")
+            .groupBy("node", "e.f", "e.b").agg(F.sum("g"), F.sum("h"), F.count("*")).toDF("node", "f", "b", "g", "h", "n"))
 
 
 def best_splits(node: np.ndarray, f: np.ndarray, b: np.ndarray, g: np.ndarray, h: np.ndarray, s: Settings) -> dict[int, tuple]:
@@ -169,27 +177,71 @@ def best_splits(node: np.ndarray, f: np.ndarray, b: np.ndarray, g: np.ndarray, h
     return out
 
 
-def grow(rows: DataFrame, number: int, s: Settings, n_features: int) -> Tree:
-    """Tree ``number`` for the margins of ``rows``."""
+def _sums(node: int, x: np.ndarray, g: np.ndarray, h: np.ndarray, columns: Sequence[int]) -> tuple[np.ndarray, ...]:
+    """A node's histogram from its rows, as :func:`histogram` has it."""
+    out = []
+    for f in columns:
+        b, at = np.unique(x[:, f], return_inverse=True)
+        G, H = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64)
+        np.add.at(G, at, g)
+        np.add.at(H, at, h)
+        out.append((np.full(len(b), node), np.full(len(b), f), b, G, H))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _subtrees(s: Settings, columns: Sequence[int]):
+    """Grow what is left of the tree below one node from its rows (at most
+    ``LOCAL_ROWS``): rows (node, feature or -1, bin, G, H)."""
+    def run(rows: pa.Table) -> pa.Table:
+        x = np.array(rows["x"].combine_chunks().values).reshape(rows.num_rows, -1)
+        g, h = rows["g"].to_numpy(), rows["h"].to_numpy()
+        out, open_ = [], [(int(rows["node"][0].as_py()), np.arange(rows.num_rows))]
+        while open_:
+            n, own = open_.pop()
+            G, H, f, b = int(g[own].sum()), int(h[own].sum()), -1, 0
+            if n < 2 ** s.depth - 1:
+                _, _, f, b, _ = best_splits(*_sums(n, x[own], g[own], h[own], columns), s)[n]
+            out.append((n, f, b, G, H))
+            if f >= 0:
+                right = x[own, f] >= b
+                open_ += [(2 * n + 1, own[~right]), (2 * n + 2, own[right])]
+        return pa.table(dict(zip(("node", "f", "b", "g", "h"), (pa.array(c, pa.int64()) for c in zip(*out)))))
+    return run
+
+
+def grow(rows: DataFrame, n_rows: int, number: int, s: Settings, n_features: int) -> Tree:
+    """Tree ``number`` for the margins of ``rows``: large nodes level by level,
+    then all small ones at once, each by one task.  The sums are whole numbers
+    and the rule is the same, so it doesn't matter which way a node goes."""
     draw = random.Random(f"{s.seed}:{number}")
     columns = sorted(draw.sample(range(n_features), max(1, math.ceil(s.colsample * n_features - 1e-9))))
     size = 2 ** (s.depth + 1) - 1
     tree = Tree([-1] * size, [0] * size, [0.0] * size)
-    leaf = lambda G, H: -(G / UNIT) / (H / UNIT + s.l2) * s.eta
+
+    def leaf(G: int, H: int) -> float:
+        return -(G / UNIT) / (H / UNIT + s.l2) * s.eta
+    small, large = ([], [0]) if n_rows > LOCAL_ROWS else ([0], [])
     for level in range(s.depth):
-        got = histogram(rows, tree, level, s, number, columns).toArrow()
-        found = best_splits(*(got[c].to_numpy() for c in ("node", "f", "b", "g", "h")), s)
-        arrays = {c: got[c].to_numpy() for c in ("node", "f", "b", "g", "h")}
-        for n, (G, H, f, b, _) in found.items():
-            tree.leaf[n] = leaf(G, H)
-            if f >= 0:
-                tree.feature[n], tree.cut[n] = f, b
-                # sums of the children: those of the level's last nodes are never counted again
-                left = (arrays["node"] == n) & (arrays["f"] == f) & (arrays["b"] < b)
-                GL, HL = int(arrays["g"][left].sum()), int(arrays["h"][left].sum())
-                tree.leaf[2 * n + 1], tree.leaf[2 * n + 2] = leaf(GL, HL), leaf(G - GL, H - HL)
-        if all(f < 0 for _, _, f, _, _ in found.values()):
+        if not large:
             break
+        got = histogram(rows, tree, level, s, number, large, columns).toArrow()
+        node, f, b, g, h, count = (got[c].to_numpy() for c in ("node", "f", "b", "g", "h", "n"))
+        large = []
+        for n, (G, H, feature, cut, _) in best_splits(node, f, b, g, h, s).items():
+            tree.leaf[n] = leaf(G, H)
+            if feature < 0:
+                continue
+            tree.feature[n], tree.cut[n] = feature, cut
+            own = (node == n) & (f == feature)
+            left = own & (b < cut)
+            GL, HL, nl = (int(v[left].sum()) for v in (g, h, count))
+            tree.leaf[2 * n + 1], tree.leaf[2 * n + 2] = leaf(GL, HL), leaf(G - GL, H - HL)
+            for child, m in ((2 * n + 1, nl), (2 * n + 2, int(count[own].sum()) - nl)):
+                (large if m > LOCAL_ROWS else small).append(child)
+    if small:
+        own = _gradients(rows, tree, s.depth, s, number, small)
+        for r in own.groupBy("node").applyInArrow(_subtrees(s, columns), "node long, f long, b long, g long, h long").collect():
+            tree.feature[r["node"]], tree.cut[r["node"]], tree.leaf[r["node"]] = r["f"], r["b"], leaf(r["g"], r["h"])
     return tree
 
 
@@ -199,16 +251,17 @@ def train(data: DataFrame, features: Sequence[str], label: str, s: Settings, wei
     features = list(features)
     cuts = cut_points(data, features, s.bins)
     rows = materialize(_binned(data, features, label, weight, key, cuts), "binned").persist(StorageLevel.MEMORY_AND_DISK)
-    trees: list[Tree] = []
+    ship_package(data.sparkSession)
+    n_rows, trees = rows.count(), []
     before = None
     for number in range(s.trees):
-        tree = grow(rows, number, s, len(features))
+        tree = grow(rows, n_rows, number, s, len(features))
         if before is not None:
             before.unpersist()
         trees.append(tree)
         before = rows
-        rows = _walked(rows, tree, s.depth).select(
-            "k", "y", "w", "x", (F.col("m") + F.get(constant({"v": tree.leaf}, "v array<double>")["v"], F.col("node"))).alias("m"))
+        leaves = f"from_json('{json.dumps({'v': tree.leaf})}', 'v array<double>').v"
+        rows = rows.selectExpr("k", "y", "w", "x", f"m + get({leaves}, {_node(tree, s.depth)}) AS m")
         if (number + 1) % KEEP == 0:
             rows = materialize(rows, "margins")
         rows = rows.persist(StorageLevel.MEMORY_AND_DISK)

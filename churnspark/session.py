@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from functools import cache
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -74,6 +77,22 @@ def materialize(df, name: str = "materialized"):
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _shipped(application: str) -> None:
+    home = Path(__file__).parent
+    path = os.path.join(tempfile.mkdtemp(prefix="churnspark-code-"), "churnspark.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for f in sorted(home.rglob("*.py")):
+            out.write(f, f.relative_to(home.parent))
+    SparkSession.active().sparkContext.addPyFile(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors' Python workers, once per
+    application, so that functions of it run wherever a task does."""
+    _shipped(spark.sparkContext.applicationId)
+
+
 def read_or_empty(read, empty):
     """``read()``; ``empty()`` only if its path doesn't exist.  Any other
     error -- an unreadable or damaged table -- is raised."""

@@ -64,7 +64,9 @@ def data(spark):
     return spark.createDataFrame(rows(220), "k long, a double, b double, c double, y int, w double")
 
 
-def test_trees_equal_those_of_plain_loops(spark, data):
+@pytest.mark.parametrize("local", [0, 60, 50_000])
+def test_trees_equal_those_of_plain_loops(spark, data, monkeypatch, local):
+    monkeypatch.setattr(B, "LOCAL_ROWS", local)
     s = B.Settings(trees=3, depth=3, eta=0.3)
     model = B.train(data, ["a", "b", "c"], "y", s, weight="w", key="k")
     want, margins = plain(rows(220), s)
@@ -79,11 +81,13 @@ def test_trees_equal_those_of_plain_loops(spark, data):
     assert all(abs(p[i] - 1 / (1 + math.exp(-v))) < 1e-9 for i, v in enumerate(margins))
 
 
-def test_same_trees_on_any_partitioning_and_sampling(spark, data):
+def test_same_trees_on_any_partitioning_and_sampling(spark, data, monkeypatch):
     s = B.Settings(trees=3, depth=3, eta=0.1, subsample=0.7, colsample=0.6)
     a = B.train(data.repartition(7), ["a", "b", "c"], "y", s, weight="w", key="k")
     b = B.train(data.coalesce(1).orderBy(F.desc("a")), ["a", "b", "c"], "y", s, weight="w", key="k")
     assert a == b
+    monkeypatch.setattr(B, "LOCAL_ROWS", 0)
+    assert B.train(data, ["a", "b", "c"], "y", s, weight="w", key="k") == a
     used = [{f for f in t.feature if f >= 0} for t in a.trees]
     assert all(len(u) <= 2 for u in used)
 
