@@ -175,13 +175,15 @@ def _able(percent: int):
     return (100 + percent) * F.col("shared") >= percent * (F.col("n") + F.col("m"))
 
 
-def _unresolved(members: DataFrame) -> DataFrame:
-    """Members of buckets with more than one component, with ``m``.  A Bloom
-    filter of fixed size keeps the others out of the exact join's shuffle."""
+def _unresolved(members: DataFrame, filtered: bool) -> DataFrame:
+    """Members of buckets with more than one component, with ``m``.  Where all
+    rows are asked, a Bloom filter of fixed size keeps most of them out of the
+    exact join's shuffle (``filtered``)."""
     open_ = materialize(members.groupBy("bucket").agg(F.min("n").alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                         .where("lo <> hi").select("bucket", "m"), "open_buckets")
-    blocks, n_blocks = bloom_filter(open_, "bucket")
-    return with_possible(members, F.col("bucket"), blocks, n_blocks).where("possible").drop("possible").join(open_, "bucket")
+    if filtered:
+        members = with_possible(members, F.col("bucket"), *bloom_filter(open_, "bucket")).where("possible").drop("possible")
+    return members.join(open_, "bucket")
 
 
 def _hubs(members: DataFrame, per_bucket: int) -> DataFrame:
@@ -199,7 +201,9 @@ def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     shingles and signatures allow a link.  A pair that shares several buckets
     meets in the smallest of those where ``b`` is a hub.  If the member is no
     longer in that bucket, the pair is settled: the member was a hub there and
-    has been compared with ``b``, or can't be linked with any text of it."""
+    has been compared with ``b``, or can't be linked with any text of it.  Of
+    two hubs of a bucket only the smaller one is taken as the member: the other
+    way round they meet in a bucket where the larger one is a hub."""
     near = (F.bit_count(F.col("s1").bitwiseXOR(F.col("h_s1"))) + F.bit_count(F.col("s2").bitwiseXOR(F.col("h_s2")))
             <= choice(percent)[2])
     sizes = 100 * F.least("n", "h_n") >= percent * F.greatest("n", "h_n")
@@ -208,7 +212,10 @@ def hub_pairs(members: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     # at most one bucket a band, so the sets are small
     each = (hubs.groupBy("h_rep", "h_comp", "h_n", "h_shared", "h_s1", "h_s2").agg(F.collect_set("bucket").alias("h_in"))
             .withColumn("bucket", F.explode("h_in")))
-    return (members.join(each, "bucket").where((F.col("comp") != F.col("h_comp")) & sizes & shared & near & first)
+    own = hubs.select("bucket", F.col("h_rep").alias("rep")).distinct().withColumn("is_hub", F.lit(True))
+    once = F.col("is_hub").isNull() | (F.col("rep") < F.col("h_rep"))
+    return (members.join(own, ["bucket", "rep"], "left").join(each, "bucket")
+            .where((F.col("comp") != F.col("h_comp")) & once & sizes & shared & near & first)
             .select(F.col("rep").alias("a"), F.col("h_rep").alias("b")))
 
 
@@ -239,7 +246,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
     fresh = (classes.join(component, classes["rep"] == component["node"], "left")
              .select("rep", F.coalesce("component", "rep").alias("comp"), "n", F.col("n").alias("shared"), "s1", "s2",
                      F.explode("bands").alias("bucket")))
-    found = materialize(_unresolved(fresh), "found")
+    found = materialize(_unresolved(fresh, True), "found")
     # only texts that may have a candidate (Bloom filters of fixed size: a text too many
     # meets no pair, and one taken for several only gets no bound)
     blocks, n_blocks = bloom_filter(materialize(found.select("rep").distinct(), "wanted"), "rep")
@@ -260,7 +267,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, percent: int, id_col: st
         left = (members.join(retired, retired.columns, "left_anti").select("bucket", "rep", "n", "s1", "s2", "bands")
                 .join(component.select(F.col("node").alias("rep"), F.col("component").alias("comp")), "rep", "left")
                 .withColumn("comp", F.coalesce("comp", "rep")))
-        left = materialize(_unresolved(materialize(left, "left")), "unresolved")
+        left = materialize(_unresolved(materialize(left, "left"), False), "unresolved")
         # what is shared among the texts that are left: fewer every round, so the bound gets tighter
         own = private_shingles(texts.join(left.select("rep").distinct(), "rep", "left_semi"))
         members = materialize(left.join(own, "rep", "left").withColumn("shared", F.col("n") - F.coalesce("private", F.lit(0)))
