@@ -677,6 +677,17 @@ FROM imp i JOIN shift s USING (feature) LEFT JOIN top t ON t.feature = i.feature
 
 
 ORACLES["permutation_importance"] = _permutation_sql()
+_BROKEN = {
+    "c_mktsegment:missing": "c_mktsegment IS NULL", "n_name:missing": "n_name IS NULL", "tenure:missing": "tenure IS NULL",
+    "tenure:above": "tenure > 60", "c_acctbal:below": "c_acctbal < 0", "n_orders:above": "n_orders > 20",
+    "c_mktsegment:unknown": "coalesce(c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD'), true)"}
+_ALLOWED = {"c_mktsegment:missing": 0.05, "n_name:missing": 0.1}
+ORACLES["dq_rules"] = W(CHURN_NULLS) + "SELECT rule, n_rows, n_violations, round(n_violations / n_rows, 10) AS share, " \
+    "coalesce(n_violations / n_rows > allowed, false) AS failed FROM (" + " UNION ALL ".join(
+        f"SELECT '{k}' AS rule, count(*) AS n_rows, count(*) FILTER (WHERE {v}) AS n_violations, "
+        f"CAST({_ALLOWED.get(k, 'NULL')} AS DOUBLE) AS allowed FROM churn_nulls" for k, v in _BROKEN.items()) + ")"
+ORACLES["dq_rejected"] = W(CHURN_NULLS) + "SELECT * FROM (SELECT c_custkey, concat_ws(',', " + ", ".join(
+    f"CASE WHEN {v} THEN '{k}' END" for k, v in _BROKEN.items() if k not in _ALLOWED) + ") AS violations FROM churn_nulls) WHERE violations <> ''"
 ORACLES["job_manual"] = """SELECT 'churn' AS name, 4 AS version, true AS has_production, false AS promote, 4 AS n_versions, 2 AS production_version"""
 ORACLES["job_retrain"] = """SELECT 'churn' AS name, 2 AS version, true AS has_production, false AS promote, 2 AS n_versions, 1 AS production_version"""
 ORACLES["job_search"] = """SELECT 'churn' AS name, 1 AS version, false AS has_production, true AS promote, 3 AS n_trials, 1 AS n_finished"""

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from churnspark.functions.scalar import risk_band, threshold_predict
 from churnspark.operators import clean, drift as D, features as FE, logs as L, metrics as M
-from churnspark.operators import model_tables as MT, models as MD, promote as P, quality as Q
+from churnspark.operators import model_tables as MT, models as MD, promote as P, quality as Q, rules as R
 from churnspark.operators.split import stratified_split
 from churnspark.plans import fixtures as fx, scoring as SC
 from churnspark.profile import CHURN_BASE, Profile
@@ -67,21 +67,36 @@ def write_eval_report(decisions: DataFrame, path: str) -> None:
 
 # ------------------------------------------------------------ jobs
 def job_ingest(spark: SparkSession, csv_path: str, out: str, profile: Profile,
-               numeric_text=("TotalCharges",)) -> dict:
+               numeric_text=("TotalCharges",), rejected: str | None = None) -> dict:
     """CSV -> contract check -> coerce -> map target -> keep-first dedup -> parquet.
 
-    Validation runs on the RAW text, before cleaning (a blank total is not
-    a null there).  Returns row counts.
+    The CSV is read once: null shares and rows are counted by the pass that
+    cleans and writes.  They are those of the RAW text, before cleaning (a blank
+    total is not a null there); a table that breaks the contract raises before
+    anything is written to ``out``.  Rows whose target is neither class go to the
+    table ``rejected`` if that is given, else they stay with a NULL target.
+    Returns row counts.
     """
     raw = CSV.scan_csv(spark, csv_path, profile.expected_columns)
-    Q.validate(raw, profile.contract)
-    ordered = clean.with_ingest_order(raw)
-    cleaned = clean.clean_raw(ordered, numeric_text=numeric_text, target=profile.target, key=profile.key,
+    rules = R.contract_rules(Profile(profile.target, None, (), (), contract=profile.contract))
+    # the order is a position in the files, so it is taken on the scan itself
+    watched, seen = R.observed(clean.with_ingest_order(raw), rules, "ingest")
+    cleaned = clean.clean_raw(watched, numeric_text=numeric_text, target=profile.target, key=profile.key,
                               order_by=["__ingest_order"]).drop("__ingest_order")
-    cleaned.write.mode("overwrite").parquet(out)
-    loaded = raw.count()
-    saved = spark.read.parquet(out).count()
-    return {"rows_loaded": loaded, "rows_saved": saved, "duplicates_dropped": loaded - saved}
+    staged = materialize(cleaned, "ingest")
+    broken = R.summary(raw, rules, seen).where("failed").first()
+    if broken:
+        raise Q.DataQualityError(f"Column '{broken['column_name']}' null rate {broken['share']:.2%} exceeds threshold {Q.NULL_THRESHOLD:.0%}")
+    known = F.col(profile.target).isNotNull()
+    counts = {"rows_loaded": seen.get["n"]}
+    if rejected:
+        unmapped = staged.where(~known)
+        unmapped.write.mode("overwrite").parquet(rejected)
+        counts["rows_rejected"] = spark.read.schema(unmapped.schema).parquet(rejected).count()
+        staged = staged.where(known)
+    staged.write.mode("overwrite").parquet(out)
+    saved = spark.read.schema(staged.schema).parquet(out).count()  # from the files' footers
+    return counts | {"rows_saved": saved, "duplicates_dropped": counts["rows_loaded"] - saved - counts.get("rows_rejected", 0)}
 
 
 def job_prepare(spark: SparkSession, curated: DataFrame, profile: Profile, out: str,
@@ -323,6 +338,27 @@ def q_batch_score(spark, sf):
     return met.select("c_custkey", "model", (same | near_a_cut).alias("consistent"))
 
 
+def _routed(spark, sf):
+    """The customers' rows routed by a contract of null shares, ranges and known texts."""
+    rules = [R.Rule("c_mktsegment", "missing", allowed=0.05), R.Rule("n_name", "missing", allowed=0.1), R.Rule("tenure", "missing"),
+             R.Rule("tenure", "above", 60), R.Rule("c_acctbal", "below", 0), R.Rule("n_orders", "above", 20),
+             R.Rule("c_mktsegment", "unknown", ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD"))]
+    path = scratch_path(spark, "routed")
+    return R.route(fx.churn_with_nulls(spark, sf), rules, path), spark.read.parquet(path)
+
+
+@q("dq_rules")
+def q_dq_rules(spark, sf):
+    found, _ = _routed(spark, sf)
+    return found.select("rule", "n_rows", "n_violations", r("share", 10).alias("share"), "failed")
+
+
+@q("dq_rejected")
+def q_dq_rejected(spark, sf):
+    _, rows = _routed(spark, sf)
+    return R.rejected(rows).select("c_custkey", F.array_join("violations", ",").alias("violations"))
+
+
 @q("permutation_importance")
 def q_permutation_importance(spark, sf):
     """What the AUC of a fixed scorer loses by each feature, for the features

@@ -137,3 +137,33 @@ def test_permutation_hands_every_value_on(spark, scored):
     imp = {r["feature"]: r["importance"] for r in MD.permutation_importance(
         scored, lambda d: d.withColumn("score", F.col("x")), ["x", "c"], "y", "k").collect()}
     assert imp["c"] == 0 and imp["x"] > 0.1
+
+
+def test_rules_are_counted_and_routed_in_one_scan(spark, tmp_dir):
+    from churnspark.operators import rules as R
+    df = spark.createDataFrame([(1, 5.0, "Yes"), (2, float("nan"), "No"), (3, 99.0, "Maybe"), (4, -1.0, None), (5, None, "Yes")], "k int, x double, y string")
+    rules = [R.Rule("x", "missing", allowed=0.3), R.Rule("x", "above", 10), R.Rule("x", "below", 0), R.Rule("y", "unknown", ("Yes", "No"))]
+    got = {r["rule"]: (r["n_violations"], r["failed"]) for r in R.route(df, rules, tmp_dir + "/r").collect()}
+    assert got == {"x:missing": (2, True), "x:above": (1, False), "x:below": (1, False), "y:unknown": (2, False)}
+    back = spark.read.parquet(tmp_dir + "/r")
+    assert {r["k"]: r["violations"] for r in R.rejected(back).collect()} == {3: ["x:above", "y:unknown"], 4: ["x:below", "y:unknown"]}
+    assert {r["k"] for r in R.accepted(back).collect()} == {1, 2, 5}
+    assert {r["share"] for r in R.route(df.limit(0), rules, tmp_dir + "/e").collect()} == {None}
+    with pytest.raises(Q.DataQualityError, match="Missing columns"):
+        R.route(df, [R.Rule("gone", "missing")], tmp_dir + "/x")
+
+
+def test_ingest_lists_unmapped_targets_and_reads_once(spark, tmp_dir):
+    text = "id,total,churn\n1,10.5,Yes\n2, ,No\n1,99,No\n3,7,Perhaps\n4,8,\n"
+    with open(tmp_dir + "/raw.csv", "w") as f:
+        f.write(text)
+    profile = Profile(target="churn", key="id", categorical=(), numeric=("total",), contract=(("id", False), ("total", True), ("churn", True)))
+    counts = jobs.job_ingest(spark, tmp_dir + "/raw.csv", tmp_dir + "/out", profile, numeric_text=("total",), rejected=tmp_dir + "/bad")
+    assert counts == {"rows_loaded": 5, "rows_saved": 2, "rows_rejected": 2, "duplicates_dropped": 1}
+    assert {(r["id"], r["total"], r["churn"]) for r in spark.read.parquet(tmp_dir + "/out").collect()} == {("1", 10.5, 1), ("2", None, 0)}
+    assert {r["id"] for r in spark.read.parquet(tmp_dir + "/bad").collect()} == {"3", "4"}
+    strict = Profile(target="churn", key="id", categorical=(), numeric=("total",), contract=(("id", False), ("total", True), ("churn", False)))
+    with pytest.raises(Q.DataQualityError, match="null rate"):
+        jobs.job_ingest(spark, tmp_dir + "/raw.csv", tmp_dir + "/never", strict, numeric_text=("total",))
+    import os
+    assert not os.path.exists(tmp_dir + "/never")
