@@ -256,7 +256,9 @@ def candidates(found: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, text_hash, item_id, size, start) of windows and items of their
     size with a minimum in common and fingerprints within the radius."""
     probes, listed = listings(found, items)
-    return (probes.join(listed, ["size", "low", "block", "value"])
+    # the listing is far larger than the items it is made from, so its size is no
+    # reason to broadcast it; hot keys of a merge join are split
+    return (probes.join(listed.hint("merge"), ["size", "low", "block", "value"])
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("i_fp"))) <= RADIUS)
             .select("doc_id", "text_hash", "item_id", "size", "start").distinct())
 
