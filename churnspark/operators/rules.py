@@ -2,9 +2,10 @@
 
 Every rule is a condition on a row.  Rules with an ``allowed`` share judge the
 table (more violations than that fail it); rules without one reject the row.
-:func:`route` writes accepted and rejected rows in one job, under
-``accepted=true`` and ``accepted=false``, and the counts of all rules are observed
-in that job: no second pass, however many rules there are.
+:func:`route` scans the input once: it writes accepted and rejected rows in one
+job, under ``accepted=true`` and ``accepted=false``, each with the names of the
+rules it breaks.  The counts are one aggregate over that column of the written
+table, however many rules there are.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,9 +21,6 @@ from churnspark.functions.scalar import nan_to_null
 from churnspark.operators.quality import NULL_THRESHOLD, DataQualityError
 from churnspark.profile import Profile
 
-SUMMARY = "rule string, column_name string, n_rows long, n_violations long, share double, failed boolean"
-
-
 @dataclass(frozen=True)
 class Rule:
     """``kind``: missing, below, above (of ``value``) or unknown (not among the
@@ -61,43 +59,40 @@ def violated(rule: Rule, df: DataFrame) -> Column:
     return F.coalesce(c < F.lit(rule.value) if rule.kind == "below" else c > F.lit(rule.value), F.lit(False))
 
 
-def observed(df: DataFrame, rules: Sequence[Rule], name: str) -> tuple[DataFrame, Observation]:
-    """``df`` whose next full pass also counts every rule's violations."""
-    seen = Observation(name)
-    counts = [F.count_if(violated(rule, df)).alias(f"v{i}") for i, rule in enumerate(rules)]
-    return df.observe(seen, F.count(F.lit(1)).alias("n"), *counts), seen
+def _broken(df: DataFrame, rules: Sequence[Rule]) -> Column:
+    """Names of the rules that a row breaks."""
+    if not rules:
+        return F.array().cast("array<string>")
+    return F.filter(F.array(*[F.when(violated(r, df), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
 
 
-def summary(df: DataFrame, rules: Sequence[Rule], seen: Observation) -> DataFrame:
-    """One row per rule, from the counts of the pass that was observed."""
-    got = seen.get
-    rows = []
-    for i, rule in enumerate(rules):
-        n, v = got["n"], got[f"v{i}"]
-        share = v / n if n else None
-        failed = rule.allowed is not None and share is not None and share > rule.allowed
-        rows.append((rule.name, rule.column, n, v, share, failed))
-    return df.sparkSession.createDataFrame(rows, SUMMARY)
+def summary(routed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(rule, column_name, n_rows, n_violations, share, failed) of a routed table."""
+    counts = routed.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.array_contains("broken", r.name)).alias(f"v{i}") for i, r in enumerate(rules)])
+    rows = F.explode(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"), F.col("n").alias("n_rows"),
+                                        F.col(f"v{i}").alias("n_violations"), F.lit(r.allowed).cast("double").alias("allowed"))
+                               for i, r in enumerate(rules)])).alias("e")
+    share = F.when(F.col("n_rows") > 0, F.col("n_violations") / F.col("n_rows"))
+    return (counts.select(rows).select("e.*").withColumn("share", share)
+            .select("rule", "column_name", "n_rows", "n_violations", "share", F.coalesce(F.col("share") > F.col("allowed"), F.lit(False)).alias("failed")))
 
 
-def route(df: DataFrame, rules: Sequence[Rule], path: str, name: str = "rules") -> DataFrame:
-    """Write all rows with their ``violations`` under ``path``, accepted and
-    rejected apart, and return the summary.  Rules whose column is absent raise."""
+def route(df: DataFrame, rules: Sequence[Rule], path: str) -> DataFrame:
+    """Write all rows under ``path``, accepted and rejected apart, with ``broken``
+    (all rules they break) and ``violations`` (those that reject), and return the
+    summary.  Rules whose column is absent raise."""
     missing = sorted({r.column for r in rules} - set(df.columns))
     if missing:
         raise DataQualityError(f"Missing columns: {missing}")
-    watched, seen = observed(df, rules, name)
-    rejecting = [r for r in rules if r.allowed is None]
-    broken = F.filter(F.array(*[F.when(violated(r, df), F.lit(r.name)) for r in rejecting]), lambda x: x.isNotNull()) \
-        if rejecting else F.array().cast("array<string>")
-    (watched.withColumn("violations", broken).withColumn("accepted", F.size("violations") == 0)
-     .write.mode("overwrite").partitionBy("accepted").parquet(path))
-    return summary(df, rules, seen)
+    out = (df.withColumn("broken", _broken(df, rules)).withColumn("violations", _broken(df, [r for r in rules if r.allowed is None]))
+           .withColumn("accepted", F.size("violations") == 0))
+    out.write.mode("overwrite").partitionBy("accepted").parquet(path)
+    return summary(df.sparkSession.read.schema(out.schema).parquet(path), rules)
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    return df.where(F.col("accepted").cast("boolean")).drop("accepted", "violations")
+    return df.where(F.col("accepted").cast("boolean")).drop("accepted", "violations", "broken")
 
 
 def rejected(df: DataFrame) -> DataFrame:
-    return df.where(~F.col("accepted").cast("boolean")).drop("accepted")
+    return df.where(~F.col("accepted").cast("boolean")).drop("accepted", "broken")
