@@ -621,7 +621,7 @@ UNION ALL SELECT 'pivot_volume', {_DAY}, '{m}', count(*) FILTER (WHERE model = '
 # ------------------- stored models, runs, reports and scored requests
 _TEST_KEYS = "SELECT c_custkey, true AS {flag}{more} FROM nulls_split WHERE split = 'test'"
 ORACLES["sink_model"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_score", more="")
-ORACLES["scan_model"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_score", more=", 5 AS n_trees")
+ORACLES["scan_model"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_score", more=", CAST(5 AS BIGINT) AS n_trees")
 ORACLES["ensemble_vote"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_vote", more="")
 ORACLES["ensemble_stack"] = W(CHURN_NULLS) + _TEST_KEYS.format(flag="same_score", more="")
 ORACLES["batch_score"] = W(CHURN_NULLS) + " UNION ALL ".join(
@@ -688,9 +688,9 @@ ORACLES["dq_rules"] = W(CHURN_NULLS) + "SELECT rule, n_rows, n_violations, round
         f"CAST({_ALLOWED.get(k, 'NULL')} AS DOUBLE) AS allowed FROM churn_nulls" for k, v in _BROKEN.items()) + ")"
 ORACLES["dq_rejected"] = W(CHURN_NULLS) + "SELECT * FROM (SELECT c_custkey, concat_ws(',', " + ", ".join(
     f"CASE WHEN {v} THEN '{k}' END" for k, v in _BROKEN.items() if k not in _ALLOWED) + ") AS violations FROM churn_nulls) WHERE violations <> ''"
-ORACLES["job_manual"] = """SELECT 'churn' AS name, 4 AS version, true AS has_production, false AS promote, 4 AS n_versions, 2 AS production_version"""
-ORACLES["job_retrain"] = """SELECT 'churn' AS name, 2 AS version, true AS has_production, false AS promote, 2 AS n_versions, 1 AS production_version"""
-ORACLES["job_search"] = """SELECT 'churn' AS name, 1 AS version, false AS has_production, true AS promote, 3 AS n_trials, 1 AS n_finished"""
+ORACLES["job_manual"] = """SELECT 'churn' AS name, 4 AS version, true AS has_production, false AS promote, CAST(4 AS BIGINT) AS n_versions, 2 AS production_version"""
+ORACLES["job_retrain"] = """SELECT 'churn' AS name, 2 AS version, true AS has_production, false AS promote, CAST(2 AS BIGINT) AS n_versions, 1 AS production_version"""
+ORACLES["job_search"] = """SELECT 'churn' AS name, 1 AS version, false AS has_production, true AS promote, CAST(3 AS BIGINT) AS n_trials, CAST(1 AS BIGINT) AS n_finished"""
 
 
 def oracles() -> dict[str, str]:
