@@ -10,7 +10,9 @@ Scale: about ``max_docs`` documents of each language are learned from (chosen
 by id hash); n-gram counts are hashed to ``BUCKETS`` cells and summed by Spark,
 so the model has languages x BUCKETS numbers.  Prediction is one pass over
 whole texts without a shuffle; Viterbi runs over many documents at once, one
-word position per step.
+word position per step.  Very long texts are cut into pieces that are stepped
+together and joined exactly, so a text of a million words takes a few thousand
+steps.
 
 Defined cases: null text and text without letters is ``und`` with score 0 and
 no span; null languages and null ids aren't learned from; a script that no
@@ -43,6 +45,8 @@ SWITCH = 12.0
 MIN_SCRIPT = 0.001
 CHUNK_CHARS = 1 << 20
 VITERBI_WORDS = 1_000_000
+#: Words of a piece; longer texts are cut into pieces that are stepped together.
+SEGMENT = 1024
 UNDETERMINED = "und"
 
 #: First and last code point of the script ranges told apart (Unicode blocks).
@@ -135,31 +139,78 @@ class Model:
         return out
 
 
-def viterbi(emit: np.ndarray, at: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
-    """Best language of every word: all texts at once, one position a step."""
-    n = np.diff(at)
-    order = np.argsort(-n, kind="stable")
-    start, n = at[:-1][order], n[order]
-    steps = int(n[0]) if len(n) else 0
-    active = np.searchsorted(-n, -np.arange(steps), "left")
-    score = np.zeros((len(n), emit.shape[1]), np.float32)
-    moved, source = np.zeros(emit.shape, bool), np.zeros(len(emit), np.int16)
-    for t in range(steps):
-        k = active[t]
+def _steps(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces by size, longest first, and how many have a word at each step."""
+    order = np.argsort(-size, kind="stable")
+    steps = int(size[order[0]]) if len(size) else 0
+    return order, np.searchsorted(-size[order], -np.arange(steps), "left")
+
+
+def _forward(emit: np.ndarray, start: np.ndarray, size: np.ndarray, entry: np.ndarray, penalty: float,
+             moved: np.ndarray | None = None, source: np.ndarray | None = None) -> np.ndarray:
+    """Best score of each language after the last word of pieces entered with
+    ``entry``; notes where a word's best way comes from another language."""
+    order, active = _steps(size)
+    start, score = start[order], entry[order]
+    for t, k in enumerate(active):
         at_t, s = start[:k] + t, score[:k]
-        if t:
-            best = s.argmax(1)
-            switched = s[np.arange(k), best] - penalty
+        best = s.argmax(1)
+        switched = s[np.arange(k), best] - penalty
+        if moved is not None:
             moved[at_t] = switched[:, None] > s
             source[at_t] = best
-            np.maximum(s, switched[:, None], out=s)
+        np.maximum(s, switched[:, None], out=s)
         s += emit[at_t]
-    path, state = np.zeros(len(emit), np.int16), score.argmax(1).astype(np.int16)
-    for t in range(steps - 1, -1, -1):
+    out = np.empty_like(score)
+    out[order] = score
+    return out
+
+
+def _backward(start: np.ndarray, size: np.ndarray, last: np.ndarray, moved: np.ndarray, source: np.ndarray,
+              path: np.ndarray | None = None) -> np.ndarray:
+    """Language before the first word of pieces that end in ``last``."""
+    order, active = _steps(size)
+    start, state = start[order], last[order]
+    for t in range(len(active) - 1, -1, -1):
         k = active[t]
         at_t = start[:k] + t
-        path[at_t] = state[:k]
+        if path is not None:
+            path[at_t] = state[:k]
         state[:k] = np.where(moved[at_t, state[:k]], source[at_t], state[:k])
+    out = np.empty_like(state)
+    out[order] = state
+    return out
+
+
+def viterbi(emit: np.ndarray, at: np.ndarray, penalty: float = SWITCH, segment: int = SEGMENT) -> np.ndarray:
+    """Best language of every word: all texts at once, one position a step.
+
+    A text of more than ``segment`` words is cut into pieces that step side by
+    side.  The scores that enter a piece are the max-plus product of those
+    that enter the one before with that piece's matrix (its best score from
+    each language to each), so path and ties are those of the uncut text."""
+    size, langs = np.diff(at), emit.shape[1]
+    pieces = np.maximum(-(-size // segment), 1)
+    text = np.repeat(np.arange(len(size)), pieces)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    start = at[:-1][text] + nth * segment
+    size = np.minimum(at[1:][text] - start, segment)
+    left = np.flatnonzero(nth + 1 < pieces[text])  # pieces that another one follows
+    entry = np.zeros((len(text), langs))
+    if len(left):
+        from_each = np.tile(np.where(np.eye(langs, dtype=bool), 0.0, -np.inf), (len(left), 1))
+        through = _forward(emit, np.repeat(start[left], langs), np.repeat(size[left], langs), from_each, penalty)
+        for k, matrix in zip(left, through.reshape(len(left), langs, langs)):
+            entry[k + 1] = (entry[k][:, None] + matrix).max(0)
+    moved, source = np.zeros(emit.shape, bool), np.zeros(len(emit), np.int16)
+    last = _forward(emit, start, size, entry, penalty, moved, source).argmax(1).astype(np.int16)
+    if len(left):
+        ends = np.tile(np.arange(langs, dtype=np.int16), len(left))
+        before = _backward(np.repeat(start[left + 1], langs), np.repeat(size[left + 1], langs), ends, moved, source)
+        for k, back in zip(left[::-1], before.reshape(len(left), langs)[::-1]):
+            last[k] = back[last[k + 1]]
+    path = np.zeros(len(emit), np.int16)
+    _backward(start, size, last, moved, source, path)
     return path
 
 
