@@ -242,7 +242,9 @@ def listings(found: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = F.transform("minima", lambda m: m)
     with_none = F.when(F.col("repeats"), F.concat("minima", F.array(F.lit(None).cast("long")))).otherwise(own)
     listed = items.select("item_id", "size", F.col("fp").alias("i_fp"), F.explode(with_none).alias("low")).select(
-        "*", F.explode(F.array(*[block(k, _block(F.col("i_fp"), k).bitwiseXOR(F.lit(m))) for k in range(BLOCKS) for m in _NEAR])).alias("e"))
+        "*", F.explode(F.array(*[block(k, _block(F.col("i_fp"), k)) for k in range(BLOCKS)])).alias("b")).select(
+        "*", F.explode(F.array(*map(F.lit, _NEAR))).alias("m")).withColumn(
+        "e", F.struct("b.block", F.col("b.value").bitwiseXOR(F.col("m")).alias("value")))
     # sizes of items with a repeated shingle: their windows are listed without a minimum, too
     loose = items.where("repeats").select("size").distinct().withColumn("repeats", F.lit(True))
     probes = (found.join(loose, "size", "left").withColumn("repeats", F.coalesce("repeats", F.lit(False)))
