@@ -1,10 +1,12 @@
 """Language-model scores: prediction by partial matching over bytes.
 
-Method: a byte-context trie of order 3, pretrained on the training texts.  A
-byte is predicted from its longest context; a byte not seen there escapes
-(escape probability distinct / (total + distinct)) to the next shorter context,
-where the bytes of the longer one are excluded; below order 0 all bytes left
-are equally likely.  A text's score is the log10 probability of its
+Method: a byte-context trie of order 5, pretrained on the training texts.  A
+byte is predicted from its longest context; a byte not seen there escapes to
+the next shorter context, where the bytes of the longer one are excluded; below
+order 0 all bytes left are equally likely.  Half a count of every byte seen in
+a context is left for the escape (probability distinct / (2 * total)), and a
+shorter context counts the longer contexts that a byte followed, not its
+occurrences: it is asked only where they fail.  A text's score is the log10 probability of its
 lower-cased bytes and of its end.  A word unigram with add-one counts is the
 base score.
 
@@ -12,12 +14,14 @@ Scale: n-gram and word counts cover all training texts and are all kept; both
 are summed inside the tasks first and then by Spark.  The trie is a set of
 tables, one per order, and the probability of every n-gram that some text has
 is computed by joins on them (tables of at most 65,536 rows by their keys are
-broadcast; a key of the others meets at most 256 rows).  The ``MAX_NODES``
-most used n-grams (6 MB) and the ``HOT_WORDS`` most frequent words travel to
+broadcast; a key of the others meets at most 256 rows).  At most ``MAX_NODES``
+of the most used n-grams (16 MB) and the ``HOT_WORDS`` most frequent words travel to
 the tasks with their values; rarer ones meet theirs in a join, where no key is
 hot.  One text is never in more than one row of the pass that scores it.
 
-Defined cases: a null text is empty and has the end alone; a null id is in no
+Defined cases: a null text is empty and has the end alone; a very long text is
+one row of one task, whole, in arrays of eight bytes for each of its own;
+n-grams used equally often all travel or are all joined, with the same values; a null id is in no
 fold, so its row is learned from and scored; repeated rows are scored alike
 and all returned; with no training text every word is unknown and every byte
 equally likely; an empty table gives an empty table.
@@ -37,9 +41,9 @@ from churnspark.llm.common import fold, map_arrow, text_of
 from churnspark.llm.tokens import LOWER, U64, chunks, word_hashes
 from churnspark.session import materialize
 
-ORDER = 3
+ORDER = 5
 #: N-grams and words whose values travel to the tasks; the others are joined.
-MAX_NODES = 500_000
+MAX_NODES = 1_000_000
 HOT_WORDS = 50_000
 #: Before and after a text; no UTF-8 text has this byte.
 EDGE = 255
@@ -53,10 +57,10 @@ def byte_grams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     # each text is preceded by ORDER edges and followed by one
     shift = np.repeat(ORDER + np.arange(n) * (ORDER + 1), np.diff(at))
     padded[np.arange(len(data)) + shift] = LOWER[data]
-    wide = padded.astype(np.uint32)
-    packed = np.zeros(len(padded), np.uint32)
+    wide = padded.astype(U64)
+    packed = np.zeros(len(padded), U64)
     for k in range(ORDER + 1):
-        packed[ORDER:] |= wide[ORDER - k:len(wide) - k] << np.uint32(8 * k)
+        packed[ORDER:] |= wide[ORDER - k:len(wide) - k] << U64(8 * k)
     first = at[:-1] + np.arange(n) * (ORDER + 1) + ORDER
     size = np.diff(at) + 1
     new_at = np.concatenate([[0], np.cumsum(size)])
@@ -74,9 +78,10 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 @dataclass
 class Level:
-    """Nodes of one order: n-grams with counts; per context its total, its
-    number of distinct bytes, and the counts those bytes have one order lower
-    (left out there when this context is escaped from)."""
+    """Nodes of one order: n-grams with counts (below the highest order, of the
+    longer n-grams that end in them); per context its total, its number of
+    distinct bytes, and the counts those bytes have one order lower (left out
+    there when this context is escaped from)."""
 
     grams: np.ndarray
     counts: np.ndarray
@@ -97,17 +102,18 @@ class Trie:
         """From packed n-grams of the highest order."""
         levels: list[Level] = []
         for order in range(ORDER, -1, -1):
-            mask = np.uint32((1 << (8 * (order + 1))) - 1)
+            mask = U64((1 << (8 * (order + 1))) - 1)
             g, inv = np.unique(grams & mask, return_inverse=True)
             n = np.bincount(inv, counts, len(g))
-            c, ci = np.unique(g >> np.uint32(8), return_inverse=True)
+            grams, counts = g, np.ones(len(g))
+            c, ci = np.unique(g >> U64(8), return_inverse=True)
             levels.insert(0, Level(g, n, c, np.bincount(ci, n, len(c)), np.bincount(ci, minlength=len(c)).astype(float),
                                    np.zeros(len(c))))
         for order in range(1, ORDER + 1):
             here, below = levels[order], levels[order - 1]
-            k, _ = _find(below.grams, here.grams & np.uint32((1 << (8 * order)) - 1))
+            k, _ = _find(below.grams, here.grams & U64((1 << (8 * order)) - 1))
             if len(k):
-                ci = np.searchsorted(here.contexts, here.grams >> np.uint32(8))
+                ci = np.searchsorted(here.contexts, here.grams >> U64(8))
                 here.lower = np.bincount(ci, below.counts[k], len(here.contexts))
         return cls(levels)
 
@@ -118,18 +124,18 @@ class Trie:
         gone_n, gone_d = np.zeros(len(grams)), np.zeros(len(grams))  # counts and bytes excluded
         for order in range(ORDER, -1, -1):
             lv = self.levels[order]
-            g = grams[left] & np.uint32((1 << (8 * (order + 1))) - 1)
-            c, has = _find(lv.contexts, g >> np.uint32(8))
+            g = grams[left] & U64((1 << (8 * (order + 1))) - 1)
+            c, has = _find(lv.contexts, g >> U64(8))
             k, seen = _find(lv.grams, g)
             if not len(lv.contexts):
                 continue
             total = np.where(has, lv.total[c] - gone_n[left], 0.0)
             distinct = np.where(has, lv.distinct[c] - gone_d[left], 0.0)
             some = distinct > 0
-            whole = np.where(some, total + distinct, 1.0)
-            out[left[seen]] += np.log10(lv.counts[k[seen]] / whole[seen])
+            whole = np.where(some, total, 1.0)
+            out[left[seen]] += np.log10((lv.counts[k[seen]] - 0.5) / whole[seen])
             escapes = ~seen
-            out[left[escapes & some]] += np.log10((distinct / whole)[escapes & some])
+            out[left[escapes & some]] += np.log10((0.5 * distinct / whole)[escapes & some])
             gone_n[left] = np.where(has, lv.lower[c], 0.0)
             gone_d[left] = np.where(has, lv.distinct[c], 0.0)
             left = left[escapes]
@@ -166,8 +172,8 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
                 learned_grams.append((u, np.bincount(inv, np.repeat(learned[i:j], np.diff(ga)), len(u))))
                 h, wa = word_hashes(data, at)
                 words.append(np.unique(h[np.repeat(learned[i:j], np.diff(wa))], return_counts=True))
-            g, uses = _merged(grams, np.uint32)
-            _, gn = _merged(learned_grams, np.uint32)
+            g, uses = _merged(grams, U64)
+            _, gn = _merged(learned_grams, U64)
             w, wn = _merged(words, U64)
             kind = np.concatenate([np.zeros(len(g)), np.ones(len(w)), [2]]).astype(np.int32)
             key = np.concatenate([g.astype(np.int64), w.view(np.int64), [0]])
@@ -194,7 +200,7 @@ def gram_levels(grams: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     total, bytes, lower) of what ``Level`` has per context."""
     levels = [grams.where("n > 0").select(F.col("key").alias("g"), F.col("n").cast("double").alias("c"))]
     for order in range(ORDER - 1, -1, -1):
-        level = levels[0].groupBy(_suffix("g", order).alias("g")).agg(F.sum("c").alias("c"))
+        level = levels[0].groupBy(_suffix("g", order).alias("g")).agg(F.count("*").cast("double").alias("c"))
         levels.insert(0, materialize(level, f"grams_{order}"))
     contexts = []
     for order, level in enumerate(levels):
@@ -213,8 +219,8 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     levels, contexts = gram_levels(grams)
     found, zero = F.col("c").isNotNull(), F.lit(0.0)
     total, distinct = F.col("total") - F.col("gone_n"), F.col("bytes") - F.col("gone_d")
-    step = (F.when(found, F.log10(F.col("c") / (total + distinct)))
-            .when(distinct > 0, F.log10(distinct / (total + distinct))).otherwise(zero))
+    step = (F.when(found, F.log10((F.col("c") - 0.5) / total))
+            .when(distinct > 0, F.log10(0.5 * distinct / total)).otherwise(zero))
 
     def predicted(rows: DataFrame, order: int) -> DataFrame:
         met = rows.join(_bounded(contexts[order], order), F.shiftright(_suffix("key", order), 8) == F.col("context"), "left")
@@ -234,6 +240,16 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     return out.unionByName(rows.where("NOT found").select("key", "uses", new.alias("p")))
 
 
+def most_used(grams: DataFrame, at_most: int) -> DataFrame:
+    """The n-grams with the highest ``uses``, in whole classes of ``uses`` (a
+    sixteenth of a power of two wide), as many classes as hold ``at_most`` rows;
+    two aggregates and a filter, no sort of all n-grams."""
+    kind = F.floor(F.log2("uses") * 16)
+    classes = grams.groupBy(kind.alias("kind")).count().orderBy(F.desc("kind")).collect()  # at most 1,008 rows
+    held = np.cumsum([r["count"] for r in classes]) <= at_most
+    return grams.where(kind >= classes[held.sum() - 1]["kind"]) if held.any() else grams.limit(0)
+
+
 def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX_NODES,
           hot_words: int = HOT_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
@@ -241,8 +257,9 @@ def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX
                        (fold(mod) == held_out).alias("held_out"))
     counts = materialize(corpus_counts(rows.select("text", "held_out")), "corpus_counts")
     grams = materialize(gram_scores(counts.where("kind = 0")), "gram_scores")
-    nodes = grams.orderBy(F.desc("uses"), "key").limit(max_nodes).orderBy("key").toArrow()
-    hot_gram, hot_p = nodes.column("key").to_numpy().astype(np.uint32), nodes.column("p").to_numpy()
+    nodes = most_used(grams, max_nodes).select("key", "p").toArrow()
+    by_key = np.argsort(nodes.column("key").to_numpy())
+    hot_gram, hot_p = nodes.column("key").to_numpy()[by_key].astype(U64), nodes.column("p").to_numpy()[by_key]
     words = counts.where("kind = 1").select(F.col("key").alias("word"), F.col("n").alias("c"))
     hot = words.orderBy(F.desc("c"), "word").limit(hot_words).toArrow()
     w, c = hot.column("word").to_numpy().astype(np.int64).view(U64), hot.column("c").to_numpy().astype(np.int64)
