@@ -10,9 +10,12 @@ becomes one ordered CASE expression.
 Scale: documents are read once (statistics are written as a narrow table);
 learning sees counts only: labelled rows are binned and pre-aggregated, and a
 growing step is one aggregate of at most features x bins rows.  The driver
-holds thresholds and those counts, both bounded by parameters.
+holds thresholds and those counts, both bounded by the number of bins, and the
+rules found so far.
 
 Defined cases: null or empty text has all counts 0 and fails the base rule; a
+very long text is counted whole, in one row's arrays of its words and lines;
+of thresholds that gain the same, the first feature's lowest is taken; a
 null or repeated id meets every label of its id, rows are neither dropped nor
 repeated (labels of an id are first reduced to the smallest); no labels, or no
 bad label, give the empty list, which keeps everything.
@@ -120,9 +123,12 @@ def thresholds(train: DataFrame, names: list[str], n_bins: int) -> dict[str, lis
     return {c: sorted({float(v) for y in (0, 1) for v in (row[f"{c}_{y}"] or [])}) for c in names}
 
 
-def learn(stats: DataFrame, labels: DataFrame, n_bins: int = 16, max_rules: int = 8, max_conditions: int = 3,
-          min_precision: float = 0.8, min_cover: int = 5) -> list[Rule]:
-    """Decision list for label 0 from ``labels`` (doc_id, quality)."""
+def learn(stats: DataFrame, labels: DataFrame, n_bins: int = 16, min_precision: float = 0.8,
+          min_cover: int = 5) -> list[Rule]:
+    """Decision list for label 0 from ``labels`` (doc_id, quality).  It ends
+    with the first rule that covers fewer than ``min_cover`` bad documents or
+    is less precise than ``min_precision``; a rule ends where no threshold
+    gains.  Every rule takes its bad documents with it, so both ends are met."""
     feats = features()
     names = list(feats)
     marks = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -140,8 +146,8 @@ def learn(stats: DataFrame, labels: DataFrame, n_bins: int = 16, max_rules: int
                         .agg(F.count("*").alias("n")), "rule_cells")
     rules: list[Rule] = []
     left = cells
-    while len(rules) < max_rules:
-        rule = _prune(left, _grow(left, names, cuts, max_conditions, min_cover))
+    while True:
+        rule = _prune(left, _grow(left, names, cuts, min_cover))
         if not rule:
             break
         hit = _all([c.on_bin() for c in rule])
@@ -153,9 +159,9 @@ def learn(stats: DataFrame, labels: DataFrame, n_bins: int = 16, max_rules: int
     return rules
 
 
-def _grow(cells: DataFrame, names: list[str], cuts: dict, max_conditions: int, min_cover: int) -> Rule:
+def _grow(cells: DataFrame, names: list[str], cuts: dict, min_cover: int) -> Rule:
     rule: Rule = ()
-    while len(rule) < max_conditions:
+    while True:
         inside = cells.where(~F.col("prune") & _all([c.on_bin() for c in rule]))
         pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("f"), F.col(f"b_{n}").alias("b")) for n in names]))
         rows = (inside.select(pairs.alias("p"), "y", "n").groupBy("p.f", "p.b")
