@@ -110,6 +110,22 @@ def test_tables_score_as_spark_ml_does(spark, data, tmp_dir):
         assert both.where("abs(ml - own) > 1e-12 OR own IS NULL").count() == 0, name
 
 
+def test_rows_go_down_all_trees_by_batches(spark, monkeypatch):
+    nodes = [(0, 0, "a", 0.5, 1, 2, 0.0), (0, 1, None, None, None, None, 0.25), (0, 2, "b", -1.0, 3, 4, 0.0), (0, 3, None, None, None, None, 0.5),
+             (0, 4, None, None, None, None, 1.0), (3, 0, None, None, None, None, 8.0), (7, 0, "b", 2.0, 5, 9, 0.0), (7, 5, None, None, None, None, 16.0),
+             (7, 9, None, None, None, None, 32.0)]
+    model = MT.TableModel(spark.createDataFrame([("trees", "mean", 0.0, 1.0, 1)], MT.META), spark.createDataFrame(nodes, MT.TREES))
+    nan = float("nan")
+    df = spark.createDataFrame([(0, 0.5, 0.0), (1, 0.6, -1.0), (2, 0.6, 3.0), (3, None, nan), (4, nan, None), (5, 9.0, None)], "k long, a double, b double")
+    want = {0: 24.25, 1: 24.5, 2: 41.0, 3: 24.25, 4: 24.25, 5: 24.5}
+    for cells in (1, 1_000_000):
+        monkeypatch.setattr(MT, "CELLS", cells)
+        scored = MT.predict(model, df)
+        assert {r["k"]: r["probability_1"] for r in scored.collect()} == want
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambdafunction" not in plan
+
+
 def test_losses_of_every_round(spark, data):
     model = MT.to_tables(spark, B.train(data, ["a", "b", "c"], "y", B.Settings(trees=4, depth=2, eta=0.5)))
     curve = {r["round"]: r["loss"] for r in MT.losses(model, data, "y").collect()}
