@@ -131,3 +131,28 @@ def test_losses_of_every_round(spark, data):
     curve = {r["round"]: r["loss"] for r in MT.losses(model, data, "y").collect()}
     last = MT.predict(model, data).select(F.avg(-F.log(F.when(F.col("y") == 1, F.col("probability_1")).otherwise(1 - F.col("probability_1"))))).first()[0]
     assert sorted(curve) == [1, 2, 3, 4] and abs(curve[4] - last) < 1e-9 and curve[4] < curve[1]
+
+
+def test_rows_are_drawn_as_spark_hashes_them(spark):
+    s = B.Settings(trees=1, depth=1, eta=0.1, subsample=0.3, seed=7)
+    for number in (0, 1, 299):
+        got = spark.range(-500, 500).selectExpr("xxhash64(id) AS k").selectExpr(
+            "xxhash64(k) AS h", f"pmod(xxhash64(k, {number}, 7), {B.UNIT}) < {int(0.3 * B.UNIT)} AS own").toPandas()
+        assert (B._sampled(got["h"].to_numpy(), s, number) == got["own"].to_numpy()).all() and 200 < got["own"].sum() < 400
+
+
+@pytest.mark.parametrize("local", [0, 50_000])
+def test_a_tree_costs_no_more_jobs_than_levels(spark, data, monkeypatch, local):
+    monkeypatch.setattr(B, "LOCAL_ROWS", local)
+    monkeypatch.setattr(B, "KEEP", 1000)
+    tracker, ran = spark.sparkContext.statusTracker(), {}
+    for trees in (1, 11):
+        spark.sparkContext.setJobGroup(f"trees-{local}-{trees}", "boosting")
+        try:
+            model = B.train(data, ["a", "b", "c"], "y", B.Settings(trees=trees, depth=3, eta=0.3), weight="w", key="k")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        ran[trees] = len(tracker.getJobIdsForGroup(f"trees-{local}-{trees}"))
+        assert len(model.trees) == trees
+    # ten more trees: a job each where one block holds all rows, else one for each level
+    assert ran[11] - ran[1] <= (30 if local == 0 else 10)
