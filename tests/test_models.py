@@ -99,3 +99,17 @@ def written(df):
     path = tempfile.mkdtemp(prefix="churnspark-test-")
     df.write.partitionBy("split").parquet(f"{path}/splits")
     return path
+
+
+def test_forest_rows_are_dealt_to_all_cores(spark, monkeypatch):
+    rows = spark.range(40).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 2 AS INT) AS y").coalesce(1)
+
+    def fit(_, data):
+        raise Fitted(data.rdd.getNumPartitions(), data.count())
+    monkeypatch.setattr(MD.Pipeline, "fit", fit)
+    for task_rows, most_rows, parts in ((10, 500, 4), (1, 500, spark.sparkContext.defaultParallelism), (100, 500, 1), (10, 4, 10)):
+        monkeypatch.setattr(MD, "TASK_ROWS", task_rows)
+        monkeypatch.setattr(MD, "MOST_ROWS", most_rows)
+        with pytest.raises(Fitted) as got:
+            MD.train_forest(rows, ["a"], "y")
+        assert got.value.args == (parts, 40)
