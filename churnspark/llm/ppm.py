@@ -17,7 +17,9 @@ is computed by joins on them (tables of at most 65,536 rows by their keys are
 broadcast; a key of the others meets at most 256 rows).  At most ``MAX_NODES``
 of the most used n-grams (16 MB) and the ``HOT_WORDS`` most frequent words travel to
 the tasks with their values; rarer ones meet theirs in a join, where no key is
-hot.  One text is never in more than one row of the pass that scores it.
+hot.  One text is never in more than one row of the pass that scores it.  Both
+passes over the texts sort the n-grams of a chunk, with the text or its fold in
+the free bits, and look up each distinct one once.
 
 Defined cases: a null text is empty and has the end alone; a very long text is
 one row of one task, whole, in arrays of eight bytes for each of its own;
@@ -45,6 +47,10 @@ ORDER = 5
 #: N-grams and words whose values travel to the tasks; the others are joined.
 MAX_NODES = 1_000_000
 HOT_WORDS = 50_000
+#: Counts of a task that wait at least before they are merged.
+MERGE_AT = 1_000_000
+#: Left beside a packed n-gram in 64 bits, for the number of a text.
+TEXT_BITS = 8 * (7 - ORDER)
 #: Before and after a text; no UTF-8 text has this byte.
 EDGE = 255
 
@@ -53,19 +59,51 @@ def byte_grams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Packed (context of ORDER bytes, byte) of every byte and of the end of
     each text, and their offsets per text."""
     n = len(at) - 1
-    padded = np.full(len(data) + n * (ORDER + 1), EDGE, np.uint8)
     # each text is preceded by ORDER edges and followed by one
-    shift = np.repeat(ORDER + np.arange(n) * (ORDER + 1), np.diff(at))
-    padded[np.arange(len(data)) + shift] = LOWER[data]
-    wide = padded.astype(U64)
-    packed = np.zeros(len(padded), U64)
-    for k in range(ORDER + 1):
-        packed[ORDER:] |= wide[ORDER - k:len(wide) - k] << U64(8 * k)
-    first = at[:-1] + np.arange(n) * (ORDER + 1) + ORDER
-    size = np.diff(at) + 1
-    new_at = np.concatenate([[0], np.cumsum(size)])
-    index = np.arange(new_at[-1]) + np.repeat(first - new_at[:-1], size)
-    return packed[index], new_at
+    first = at[:-1] + np.arange(n) * (ORDER + 1)
+    inside = np.ones(len(data) + n * (ORDER + 1), bool)
+    for k in range(ORDER):
+        inside[first + k] = False
+    own = inside.copy()
+    own[first + ORDER + np.diff(at)] = False
+    padded = np.full(8 + len(inside), EDGE, np.uint8)
+    padded[8:][own] = LOWER[data]
+    # the eight bytes up to each one, the last one lowest
+    packed = np.ndarray(len(inside), ">u8", padded, offset=1, strides=(1,)).astype(U64)
+    packed &= U64((1 << (8 * (ORDER + 1))) - 1)
+    return packed[inside], np.concatenate([[0], np.cumsum(np.diff(at) + 1)])
+
+
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first positions, lengths) of the runs of equal ones of the sorted ``keys``."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return first, np.diff(np.append(first, len(keys)))
+
+
+def by_text(ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of an id (of at most ORDER + 1 bytes) and one of at most
+    2^TEXT_BITS texts that has it, sorted: ids, texts and times."""
+    pairs = ids << U64(TEXT_BITS) | np.repeat(np.arange(len(at) - 1, dtype=U64), np.diff(at))
+    pairs.sort()
+    first, times = _runs(pairs)
+    pairs = pairs[first]
+    return pairs >> U64(TEXT_BITS), (pairs & U64((1 << TEXT_BITS) - 1)).astype(np.int64), times
+
+
+def gram_pairs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct n-grams of some texts; per n-gram and text that has it the
+    position of the n-gram, the text and the times."""
+    ids, text, times = by_text(*byte_grams(data, at))
+    first, size = _runs(ids)
+    return ids[first], np.repeat(np.arange(len(first)), size), text, times
+
+
+def word_pairs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same for hashes of words."""
+    h, wa = word_hashes(data, at)
+    keys, ids = np.unique(h, return_inverse=True)
+    ids, text, times = by_text(ids.astype(U64), wa)
+    return keys, ids.astype(np.int64), text, times
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +114,20 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return k, keys[k] == wanted
 
 
+def sums_and_rest(keys: np.ndarray, ids: np.ndarray, text: np.ndarray, times: np.ndarray, n_texts: int,
+                  hot: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array]:
+    """Per text, from what ``gram_pairs`` and ``word_pairs`` return: how many are
+    ``hot`` (sorted), the sum of their values, and the others with their times."""
+    k, found = _find(hot, keys)
+    worth, known = np.where(found, value[k] if len(value) else 0.0, 0.0)[ids], found[ids]
+    order = np.flatnonzero(~known)
+    order = order[np.argsort(text[order], kind="stable")]
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(text[order], minlength=n_texts))]).astype(np.int32))
+    return (np.bincount(text, times * known, n_texts), np.bincount(text, times * worth, n_texts),
+            pa.ListArray.from_arrays(ends, pa.array(keys[ids[order]].view(np.int64))),
+            pa.ListArray.from_arrays(ends, pa.array(times[order].astype(np.int32))))
+
+
 @dataclass
 class Level:
     """Nodes of one order: n-grams with counts (below the highest order, of the
@@ -149,11 +201,30 @@ class Trie:
         return np.diff(np.concatenate([[0.0], np.cumsum(self.log10p(u)[inv])])[ga])
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]], dtype) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.zeros(0, dtype), np.zeros(0, np.int64)
-    keys, inv = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(inv, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+class Counts:
+    """Sums of counts by key.  What is added waits until it is twice the sums'
+    size and is merged then, so memory follows the distinct keys."""
+
+    def __init__(self) -> None:
+        self.parts = [(np.zeros(0, U64), np.zeros(0, np.int64))]
+        self.waiting = 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((keys, n))
+        self.waiting += len(keys)
+        if self.waiting > max(2 * len(self.parts[0][0]), MERGE_AT):
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys and their sums."""
+        keys = np.concatenate([k for k, _ in self.parts])
+        n = np.concatenate([n for _, n in self.parts])
+        self.parts, self.waiting = [], 0
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        first, _ = _runs(keys)
+        self.parts = [(keys[first], np.add.reduceat(n, first))]
+        return self.parts[0]
 
 
 def corpus_counts(texts: DataFrame) -> DataFrame:
@@ -164,17 +235,20 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             learned = ~batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            grams, learned_grams, words = [], [], []
+            grams, words = Counts(), Counts()
             for i, j, data, at in chunks(batch.column(0)):
                 g, ga = byte_grams(data, at)
-                u, inv, n = np.unique(g, return_inverse=True, return_counts=True)
-                grams.append((u, n))
-                learned_grams.append((u, np.bincount(inv, np.repeat(learned[i:j], np.diff(ga)), len(u))))
+                g = g << U64(1) | np.repeat(learned[i:j], np.diff(ga)).astype(U64)
+                g.sort()
+                first, n = _runs(g)
+                grams.add(g[first], n)
                 h, wa = word_hashes(data, at)
-                words.append(np.unique(h[np.repeat(learned[i:j], np.diff(wa))], return_counts=True))
-            g, uses = _merged(grams, U64)
-            _, gn = _merged(learned_grams, U64)
-            w, wn = _merged(words, U64)
+                words.add(*np.unique(h[np.repeat(learned[i:j], np.diff(wa))], return_counts=True))
+            marked, n = grams.merged()
+            first, _ = _runs(marked >> U64(1))
+            g, uses = marked[first] >> U64(1), np.add.reduceat(n, first)
+            gn = np.add.reduceat(n * (marked & U64(1)).astype(np.int64), first)
+            w, wn = words.merged()
             kind = np.concatenate([np.zeros(len(g)), np.ones(len(w)), [2]]).astype(np.int32)
             key = np.concatenate([g.astype(np.int64), w.view(np.int64), [0]])
             n_texts = [int(learned.sum())]
@@ -272,30 +346,20 @@ def score(docs: DataFrame, held_out: int = 2, mod: int = 7, max_nodes: int = MAX
     total = (n_words or 0) + n_docs
     floor = np.log10(total + (distinct or 0) + (1 if n_docs else 0) + 1)
     end = float(np.log10(n_docs + 1) - floor)
+    hot_value = np.log10(hot_count + 1.0) - floor
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (whole.slice(k, 1 << TEXT_BITS) for whole in batches for k in range(0, whole.num_rows, 1 << TEXT_BITS))
+        for batch in parts:
             for i, j, data, at in chunks(batch.column(2)):
-                h, wa = word_hashes(data, at)
-                k, is_hot = _find(hot_word, h)
-                value = np.where(is_hot, np.log10((hot_count[k] if len(hot_count) else 0) + 1.0) - floor, 0.0)
-                summed = lambda v: np.diff(np.concatenate([[0.0], np.cumsum(v)])[wa])  # noqa: B023, E731
-                g, ga = byte_grams(data, at)
-                gk, hot_g = _find(hot_gram, g)
-                p = np.where(hot_g, hot_p[gk] if len(hot_p) else 0.0, 0.0)
-                rare, times = [], []  # words, then n-grams
-                for d in range(j - i):
-                    for keys, known, ends in ((h, is_hot, wa), (g, hot_g, ga)):
-                        own = keys[ends[d]:ends[d + 1]][~known[ends[d]:ends[d + 1]]]
-                        u, n = np.unique(own, return_counts=True)
-                        rare.append(u.astype(U64).view(np.int64)), times.append(n.astype(np.int32))
+                by_word, by_gram = word_pairs(data, at), gram_pairs(data, at)
+                known, known_score, rare, times = sums_and_rest(*by_word, j - i, hot_word, hot_value)
+                _, gram_score, rare_grams, gram_times = sums_and_rest(*by_gram, j - i, hot_gram, hot_p)
+                own = [batch.column(k).slice(i, j - i) for k in (0, 1, 3)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), batch.column(3).slice(i, j - i),
-                     pa.array(np.diff(wa).astype(np.int64)), pa.array(summed(is_hot).astype(np.int64)),
-                     pa.array(summed(value)), pa.array(np.diff(np.concatenate([[0.0], np.cumsum(p)])[ga])),
-                     pa.array(rare[::2], pa.list_(pa.int64())), pa.array(times[::2], pa.list_(pa.int32())),
-                     pa.array(rare[1::2], pa.list_(pa.int64())), pa.array(times[1::2], pa.list_(pa.int32()))],
+                    [*own, pa.array(np.bincount(by_word[2], by_word[3], j - i).astype(np.int64)), pa.array(known.astype(np.int64)),
+                     pa.array(known_score), pa.array(gram_score), rare, times, rare_grams, gram_times],
                     names=["doc_id", "text_hash", "held_out", "words", "hot", "hot_score", "score", "rare", "times",
                            "rare_grams", "gram_times"])
 
