@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +171,25 @@ def test_all_trees_of_one_task_are_one_job(spark, data):
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         ran[trees] = len(tracker.getJobIdsForGroup(f"task-{trees}"))
     assert ran[11] == ran[1]
+
+
+def test_a_level_sums_up_one_child_of_every_node(spark):
+    """Half the nodes of a level are summed up, in columns that lie together in memory; the trees of the
+    other half's differences and of margins carried over several trees are the loops' (tests above)."""
+    rng, widths, s = np.random.default_rng(3), [7, 40, 200], B.Settings(trees=2, depth=5, eta=0.3)
+    x = np.stack([rng.integers(0, w, 4000) for w in widths]).astype(np.uint8)
+    y = ((x[1] > 20) ^ (x[2] % 7 > 3)).astype(np.int8)
+    block = (x, y, np.ones(4000, np.int8), rng.integers(-2 ** 62, 2 ** 62, 4000), np.zeros(4000))
+    drawn, asked = B._drawn(block, (), s, 0), []
+    assert drawn[0].flags.c_contiguous
+
+    def sums(tree, level, nodes, columns):
+        asked.append(len(nodes))
+        return B._level(drawn, tree, level, nodes, columns, widths)
+    tree = B.grow(sums, 0, s, widths)
+    assert sum(f >= 0 for f in tree.feature) > 15 and all(n <= max(1, 2 ** (level - 1)) for level, n in enumerate(asked))
+    at = B._nodes(tree, s.depth, x)
+    for n in np.unique(at):
+        g, h = (v[at == n].sum() / B.UNIT for v in drawn[1:])
+        assert abs(tree.leaf[n] + g / (h + s.l2) * s.eta) < 1e-12
+    assert tree == next(B._task_trees([block], widths, s))
